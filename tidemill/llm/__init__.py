@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-
-MODULES = ("parity_join",)
+MODULES = ("parity_join", "mixture", "shard_tree", "line_dedup")
 
 
 def queries() -> dict:
