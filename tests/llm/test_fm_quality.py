@@ -41,5 +41,5 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = fm.train(docs, labels)
-    assert {r["score"] for r in fm.score(docs, model).collect()} == {0.5}
+    assert all(abs(r["score"] - 0.5) < 0.01 for r in fm.score(docs, model).collect())
     assert fm.score(docs.limit(0), model, keep=("doc_id",)).collect() == []

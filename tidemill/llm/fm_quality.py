@@ -106,7 +106,7 @@ def _scores(model: Model, bucket: np.ndarray, words: np.ndarray, stats: np.ndarr
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 60, seed: int = 1, rate: float = 0.02) -> Model:
-    """A model of (buckets, statistics, label) rows; without both labels it scores every text alike."""
+    """A model of (buckets, statistics, label) rows; without both labels it scores all texts nearly alike."""
     rng = np.random.default_rng(seed)
     stats = np.asarray([r[1] for r in rows]).reshape(len(rows), STATS)
     y = np.asarray([r[2] for r in rows], np.float64)

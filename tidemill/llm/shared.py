@@ -24,7 +24,7 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, rows_a_task: int = 200_000) -> DataFrame:
     """(id, root): the smallest vertex that each vertex of edges (a, b) reaches.
 
     Each round hooks a vertex's root to the least root next to it and then halves the
@@ -32,7 +32,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     the edges. Edges with a null end and loops link nothing."""
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b"), F.col("a"))).distinct()
     both = saved(both)
-    label = saved(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("root")))
+    # few rows make few tasks, whatever the number of shuffle partitions
+    tasks = max(1, -(-both.count() // rows_a_task))
+    both = both.coalesce(tasks)
+    label = saved(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("root")).coalesce(tasks))
     for _ in range(most_rounds):
         near = both.join(label.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
         new = label.join(near, "id").select("id", F.least("root", "near").alias("root"), F.col("root").alias("old"))
@@ -40,7 +43,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # hooking: a root takes the least label that any of its members has seen
         hooked = new.groupBy(F.col("old").alias("root")).agg(F.min("root").alias("hook"))
         new = new.join(jump, "root", "left").join(hooked.select(F.col("root").alias("old"), "hook"), "old", "left")
-        new = saved(new.select("id", F.least("root", "far", "hook").alias("root"), (F.col("old") != F.least("root", "far", "hook")).alias("moved")))
+        new = saved(new.select("id", F.least("root", "far", "hook").alias("root"), (F.col("old") != F.least("root", "far", "hook")).alias("moved")).coalesce(tasks))
         label = new.select("id", "root")
         if not new.where("moved").limit(1).count():
             return label
