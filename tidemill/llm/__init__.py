@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("parity_join", "containment", "mixture", "fm_quality", "shard_tree", "line_dedup")
+MODULES = ("ppm_scoring", "parity_join", "containment", "mixture", "fm_quality", "shard_tree", "line_dedup")
 
 
 def queries() -> dict:
