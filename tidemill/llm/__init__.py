@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("ppm_scoring", "parity_join", "containment", "mixture", "fm_quality", "shard_tree", "line_dedup")
+MODULES = (
+    "ppm_scoring", "chat_format", "parity_join", "containment", "mixture", "fm_quality", "shard_tree",
+    "line_dedup", "projection_forest",
+)
 
 
 def queries() -> dict:

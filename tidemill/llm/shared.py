@@ -13,14 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the shared folder that spark.checkpoint.dir names.
+def folder(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names.
 
     Where the session names none, as in tests on one machine, a temporary folder serves."""
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemill-"))
+    return named or context.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """df with its lineage cut, in the shared folder."""
+    folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
