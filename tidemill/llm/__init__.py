@@ -9,7 +9,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "ppm_scoring", "chat_format", "parity_join", "containment", "mixture", "fm_quality", "shard_tree",
+    "ppm_scoring", "chat_format", "block_labeller", "parity_join", "containment", "mixture", "fm_quality", "shard_tree",
     "line_dedup", "projection_forest",
 )
 
