@@ -82,8 +82,7 @@ def test_line_dedup_equals_brute_force(spark):
     docs += [(100, None), (101, ""), (102, "\n\n"), (None, "hot line\nrest"), (3, "other\nhot line")]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("hash", F.lit(1))
     bitmaps = line_dedup.keep_bitmaps(df, least_docs=10)
-    got = df.withColumn("body", F.xxhash64("text")).join(bitmaps.withColumnRenamed("body", "b"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("b")), "left")
-    got = got.select("doc_id", "text", F.coalesce("n_dropped", F.lit(0)).alias("n"), line_dedup.kept_lines(F.col("text"), F.col("dropped")).alias("kept")).collect()
+    got = line_dedup.apply_bitmaps(df, bitmaps).select("doc_id", "text", F.col("n_dropped").alias("n"), "kept").collect()
     key = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s.strip(" \t\n\x0b\x0c\r"))
     held = defaultdict(set)
     for i, t in docs:

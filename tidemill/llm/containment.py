@@ -26,6 +26,11 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, GAP, -1))
 
 
+def _once(column: Column) -> Column:
+    """column as a generated one, so that the optimiser doesn't repeat it wherever it is used (within lambdas: for each element)."""
+    return F.explode(F.array(column))
+
+
 def _places(w: str, width: Column | int) -> Column:
     """0-based starts of the runs of width words."""
     width = F.lit(width) if isinstance(width, int) else width
@@ -51,7 +56,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
 
     An item of fewer than size words is one shingle of all its words, looked for at its own width. Items without words are
     in no document. Of rows that repeat an id the fullest match counts; null ids are an id."""
-    it = items.select(F.col(item_col).alias("item_id"), F.xxhash64(item_text).alias("item_body"), words(F.col(item_text)).alias("w")).where("size(w) > 0").distinct()
+    it = items.select(F.col(item_col).alias("item_id"), F.xxhash64(item_text).alias("item_body"), _once(words(F.col(item_text))).alias("w")).where("size(w) > 0").distinct()
     it = it.withColumn("width", F.least(F.lit(size), F.size("w"))).withColumn("shingles", _texts("w", F.col("width")))
     it = shared.saved(it.withColumn("n_item", F.size("shingles")).withColumn("most_absent", F.floor(F.col("n_item") * (100 - percent) / 100).cast("int")))
     hashed = F.array().cast("array<long>")
@@ -63,7 +68,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     if not parts:
         return docs.sparkSession.createDataFrame([], "item_id long, doc_id long, n_item long, n_shared long")
     index = _small(it.select("item_id", "item_body", F.col("width").alias("at"), F.explode("sketch").alias("hash")))
-    read = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), words(F.col(text_col)).alias("w"))
+    read = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), _once(words(F.col(text_col))).alias("w"))
     hits = None
     for width in sorted({p["width"] for p in parts}):
         own = [p for p in parts if p["width"] == width]

@@ -57,25 +57,28 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return words.groupBy("id", "body").agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"), F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("dropped"))
 
 
-def kept_lines(text: Column, dropped: Column) -> Column:
-    """The lines of a text that its bitmap keeps, joined by \\n."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    words = F.map_from_entries(dropped)
-    kept = F.filter(lines, lambda x, i: F.expr("0") == F.coalesce(F.element_at(words, F.shiftright(i, 6)), F.lit(0).cast("long")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(F.lit(63)))))
-    return F.when(dropped.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n"))
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col, text_col, n_lines, n_dropped and kept (the lines that stay, joined by \\n) for every row of docs."""
+    same = F.col(id_col).eqNullSafe(F.col("id")) & (F.xxhash64(text_col) == F.col("body"))
+    joined = docs.select(id_col, text_col).join(bitmaps, same, "left")
+    # generated columns, so that lambdas read them and don't make them again for each line
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    made = joined.select(id_col, text_col, "n_dropped", "dropped", F.explode(F.array(lines)).alias("lines"))
+    made = made.select("*", F.explode(F.array(F.map_from_entries("dropped"))).alias("words"))
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(F.lit(63)))
+    gone = lambda i: F.coalesce(F.element_at("words", F.shiftright(i, 6)), F.lit(0).cast("long")).bitwiseAND(bit(i)) != 0
+    kept = F.array_join(F.filter("lines", lambda x, i: ~gone(i)), "\n")
+    return made.select(
+        id_col, text_col, F.size("lines").cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"),
+        F.when(F.col("dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept).alias("kept"),
+    )
 
 
 def op9_line_dedup(spark, sf_dir):
     """What each document keeps when lines that ten documents hold are gone."""
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
-    bitmaps = keep_bitmaps(docs)
-    joined = docs.withColumn("body", F.xxhash64("text")).join(bitmaps.withColumnRenamed("body", "b"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("b")), "left")
-    return joined.select(
-        "doc_id",
-        F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"),
-        F.sha2(F.encode(kept_lines(F.col("text"), F.col("dropped")), "UTF-8"), 256).alias("kept_sha256"),
-    )
+    out = apply_bitmaps(docs, keep_bitmaps(docs))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
 QUERIES = {"op9_line_dedup": op9_line_dedup}
