@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("plans.pages",)
+MODULES = ("functions.queries", "plans.pages")
 
 
 def queries() -> dict:
