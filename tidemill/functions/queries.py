@@ -77,7 +77,7 @@ PAIRS = {
     "name_stem": scalar("pages", "page_id", stem=(lambda: t.name_stem(F.concat(u.path(c()), F.lit(".html"))), _sub(f"({PATH} || '.html')", "[.][A-Za-z0-9]{1,5}$"))),
     "title_qualifier": scalar("documents", "doc_id", qualifier=(lambda: t.qualifier(c("text")), _sub(f"left({FOLD(_sub('text', '[\\x00-\\x1f\\\\/:*?\"<>|]', '-'))}, 60)", "^[ .-]+|[ .-]+$"))),
     "host_line": scalar("documents", "doc_id", line=(lambda: t.host_line(c("text")), HOST_LINE)),
-    "bullet_line": scalar("documents", "doc_id", line=(lambda: t.bullet_line(c("text")), f"CASE WHEN length({BULLET}) <= 200 THEN {BULLET} ELSE rtrim(left({BULLET}, 199)) || '…' END")),
+    "bullet_line": scalar("documents", "doc_id", line=(lambda: t.bullet_line(c("text")), f"CASE WHEN length({BULLET}) <= 200 THEN {BULLET} ELSE left({BULLET}, 199) || '…' END")),
     "table_cell": scalar("documents", "doc_id", cell=(lambda: t.table_cell(c("text")), f"replace(replace({FOLD('text')}, chr(92), chr(92) || chr(92)), '|', chr(92) || '|')")),
     "plain_quotes": scalar("documents", "doc_id", plain=(lambda: t.plain_quotes(c("text")), f"replace({FOLD('text')}, '`', '''')")),
     "video_plain": scalar("pages", "page_id", plain=(lambda: t.video_plain(c("html")), _sql_swaps("html", (("<", "&lt;"), ("[[", "\\[\\["), ("%%", "%\\%"), ("$$", "$\\$"))))),

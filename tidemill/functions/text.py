@@ -67,7 +67,7 @@ def host_line(text: Column) -> Column:
 
 
 def capped(text: Column, most: int = 200) -> Column:
-    return F.when(F.char_length(text) <= most, text).otherwise(F.concat(F.rtrim(F.left(text, F.lit(most - 1))), F.lit("…")))
+    return F.when(F.char_length(text) <= most, text).otherwise(F.concat(F.left(text, F.lit(most - 1)), F.lit("…")))
 
 
 def bullet_line(text: Column) -> Column:
