@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("functions.queries", "plans.pages")
+MODULES = ("functions.queries", "plans.pages", "operators.items", "operators.matching", "operators.titles")
 
 
 def queries() -> dict:
