@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("functions.queries", "plans.pages", "operators.items", "operators.matching", "operators.titles")
+MODULES = (
+    "functions.queries", "functions.html", "plans.pages", "operators.items", "operators.matching", "operators.titles",
+    "operators.report",
+)
 
 
 def queries() -> dict:
