@@ -134,7 +134,7 @@ def tags(values: Column) -> Column:
 
 def first_lines(text: Column) -> Column:
     """The folded lines of a text that are not empty."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", -1), fold), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1), fold), lambda x: x != "")
 
 
 CLOCK = r"^(?:[0-9]{1,2}:)?[0-9]{1,2}:[0-9]{2}$"

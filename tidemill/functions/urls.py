@@ -183,5 +183,5 @@ def glob_pattern(pattern: str, classes: bool = True) -> str:
             out += "[" + ("^" + inner[1:] if inner[0] == "!" else inner) + "]"
             i = j + 1
         else:
-            out += "[" + c + "]" if c in ".+?()|{}$*[" else "\\" + c if c in "^]\\" else c
+            out += "[" + c + "]" if c in ".+?()|{}$*" else "\\" + c if c in "^[]\\" else c
     return f"^(?s:{out})$"

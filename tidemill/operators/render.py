@@ -60,7 +60,7 @@ def safe_chapters(chapters: Column) -> Column:
 
 def description_markdown(text: Column) -> Column:
     """A description as a quote: a time list under its heading, hashtag walls dropped, blank runs one, openers escaped."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", -1), lambda x: ~((F.size(F.split(F.trim(x), r"\s+", -1)) > 3) & x.rlike(r"^\s*(#\w+\s*){4,}$")))
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1), lambda x: ~((F.size(F.split(F.trim(x), r"\s+", -1)) > 3) & x.rlike(r"^\s*(#\w+\s*){4,}$")))
     link = lambda x: F.regexp_replace(t.video_plain(x), r"(https?://[^\s<>()\[\]]+)", "<$1>")
     made = F.transform(lines, lambda x: F.when(x.rlike(r"(?i)^\s*(timestamps|chapters)\s*:?\s*$"), F.lit("**Timestamps**\n")).when(x.rlike(r"^\s*\(?(?:[0-9]+:)?[0-9]{1,2}:[0-9]{2}\)?\s+\S"), F.regexp_replace(x, r"^\s*\(?((?:[0-9]+:)?[0-9]{1,2}:[0-9]{2})\)?\s*[-–—]?\s*", "- `$1` ")).otherwise(t.unblocked(link(F.rtrim(x)))))
     whole = F.trim(F.regexp_replace(F.array_join(made, "\n"), r"\n{3,}", "\n\n"))

@@ -100,7 +100,7 @@ def entity_items(content: Column) -> Column:
 def caption_cues(files: DataFrame) -> DataFrame:
     """(file, pos, start, text) of WEBVTT cues, timing tags removed."""
     cue = F.posexplode(F.regexp_extract_all("content", F.lit(r"(?s)(\d[\d:.]+ --> .*?)(?:\r?\n\r?\n|\z)"), F.lit(1))).alias("pos", "x")
-    text = F.trim(F.regexp_replace(F.regexp_replace("x", r"^[^\n]*\n?", ""), "<[^>]*>", ""))
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace("x", r"^[^\n]*\n?", ""), "<[^>]*>", ""), r"^\s+|\s+$", "")
     return files.select("file", cue).select("file", "pos", F.regexp_extract("x", r"^([\d:.]+)", 1).alias("start"), text.alias("text"))
 
 
