@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once a context: their Python need not have it installed.
+
+    The driver serves the archive, so that its folder need not be shared."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemill_shipped", None) != context.applicationId:
+        home = Path(__file__).resolve().parent
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='tidemill-')}/tidemill", "zip", home.parent, home.name))
+        context._tidemill_shipped = context.applicationId
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
