@@ -7,10 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from tidemill.registry import read as table  # noqa: F401  a table of the data folder
+from tidemill.registry import ship
 
 
 def folder(spark: SparkSession) -> str:
@@ -26,6 +24,7 @@ def folder(spark: SparkSession) -> str:
 
 def saved(df: DataFrame) -> DataFrame:
     """df with its lineage cut, in the shared folder."""
+    ship(df.sparkSession)
     folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
