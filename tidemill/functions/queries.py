@@ -102,4 +102,8 @@ t AS (SELECT page_id, CASE WHEN cut = w THEN w ELSE {_sub('cut', '[ .-]+$')} ||
 SELECT page_id, CASE WHEN title = '' THEN 'Untitled' WHEN lower(title) = 'index' THEN title || ' (page)' ELSE title END AS title FROM t""",
 )
 
+PAIRS["title_keys"] = (scalar("pages", "page_id", key=(lambda: t.page_key(F.regexp_extract("html", TITLE, 1)), ""), matched=(lambda: t.match_title(F.regexp_extract("html", TITLE, 1)), ""))[0], "")
+PAIRS["link_facts"] = (scalar("documents", "doc_id", title=(lambda: t.link_title(F.concat(F.lit("12:34\n"), F.left("text", F.lit(60)))), ""), duration=(lambda: t.link_duration(F.concat(F.lit("12:34\n"), c("text"))), ""), card=(lambda: t.card_name(c("text")), ""))[0], "")
+PAIRS["quoted_text"] = (scalar("documents", "doc_id", quoted=(lambda: t.quoted(c("text")), ""), cut=(lambda: t.cut_bytes(c("text"), 100), ""), task_line=(lambda: t.bullet_line_task(c("text")), ""))[0], "")
+
 QUERIES, ORACLES = split(PAIRS)
