@@ -17,7 +17,7 @@ def test_targets_stop_at_three_times():
 
 
 def mixed(spark, rows):
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string").selectExpr("*", "1 as threshold", "2 as whole", "3 as mix_target", "4 as hash")
     return mixture.mix(docs, mixture.word_count()).select("source", "mix_size", "mix_source_size", "mix_target", "mix_copies").collect()
 
 

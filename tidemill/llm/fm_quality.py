@@ -174,8 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([(np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(s), y) for s, b, y in rows])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns keep of docs with score (0 to 1) and predicted; a null text scores as an empty one."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """The columns keep of docs with score (0 to 1) and predicted, under names; a null text scores as an empty one."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +183,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for a, b, raw, off in tk.slices(batch.column("_text")):
                 s = _scores(held.value, *features(raw, off))
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(1, part.num_columns)), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*part.schema.names[1:], "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(1, part.num_columns)), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*part.schema.names[1:], *names])
 
-    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    added = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]
     schema = T.StructType([*docs.select(*keep).schema.fields, *added])
     return docs.select(F.col(text_col).cast("string").alias("_text"), *keep).mapInArrow(run, schema)
 

@@ -59,8 +59,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, text_col, n_lines, n_dropped and kept (the lines that stay, joined by \\n) for every row of docs."""
-    same = F.col(id_col).eqNullSafe(F.col("id")) & (F.xxhash64(text_col) == F.col("body"))
-    joined = docs.select(id_col, text_col).join(bitmaps, same, "left")
+    held = bitmaps.withColumnsRenamed({"id": "_id", "body": "_body"})
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_body"))
+    joined = docs.select(id_col, text_col).join(held, same, "left")
     # generated columns, so that lambdas read them and don't make them again for each line
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     made = joined.select(id_col, text_col, "n_dropped", "dropped", F.explode(F.array(lines)).alias("lines"))

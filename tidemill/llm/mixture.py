@@ -80,14 +80,15 @@ def mix(docs: DataFrame, size: Column, source_col: str = "source", id_col: str =
         narrowed = F.broadcast(rest.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("budget").alias("left")))  # one row a source
         inside = inside.join(narrowed, F.col("source").eqNullSafe(F.col("s")) & (_bucket(level) == F.col("b"))).select("source", "size", "hash", "prefix", F.col("left").alias("budget"))
     thresholds = plan_df.join(done.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select(
-        F.col("source").alias("_s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "whole", "threshold", "closed"
+        F.col("source").alias("_mix_s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("whole").alias("_mix_whole"), F.col("threshold").alias("_mix_at"), F.col("closed").alias("_mix_closed")
     )
     thresholds = F.broadcast(shared.saved(thresholds.coalesce(1)))  # one row a source
     order = lambda c: F.col(c).bitwiseXOR(F.lit(-(2**63)))  # noqa: E731  hashes compare as unsigned numbers
-    taken = (order("_hash") < order("threshold")) | ((F.col("_hash") == F.col("threshold")) & F.col("closed"))
-    out = base.withColumn("_hash", F.xxhash64(F.col(id_col), "mix_size", F.lit(20240607))).join(thresholds, F.col(source_col).eqNullSafe(F.col("_s")))
-    extra = F.when(F.col("threshold").isNotNull() & taken, 1).otherwise(0)
-    return out.withColumn("mix_copies", (F.col("whole") + extra).cast("int")).drop("_hash", "_s", "whole", "threshold", "closed")
+    taken = (order("_mix_hash") < order("_mix_at")) | ((F.col("_mix_hash") == F.col("_mix_at")) & F.col("_mix_closed"))
+    hashed = base.drop("mix_source_size", "mix_target", "mix_copies").withColumn("_mix_hash", F.xxhash64(F.col(id_col), "mix_size", F.lit(20240607)))
+    out = hashed.join(thresholds, F.col(source_col).eqNullSafe(F.col("_mix_s")))
+    extra = F.when(F.col("_mix_at").isNotNull() & taken, 1).otherwise(0)
+    return out.withColumn("mix_copies", (F.col("_mix_whole") + extra).cast("int")).drop("_mix_hash", "_mix_s", "_mix_whole", "_mix_at", "_mix_closed")
 
 
 def word_count(text_col: str = "text") -> Column:
