@@ -4,7 +4,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from tidemill.llm import ppm_scoring as ppm
+from tidemill.llm import textkernel as tk
 
 
 def brute(rows, order=4):
@@ -53,3 +57,28 @@ def test_nothing_to_learn_from(spark):
     (row,) = ppm.score(docs, *ppm.learn(docs.limit(0)), ppm.held_out()).collect()
     assert row["n_known"] == 0 and row["train_tokens"] == 0 and math.isclose(row["score"], -3 * math.log10(256))
     assert ppm.score(docs.limit(0), *ppm.learn(docs), ppm.held_out()).collect() == []
+
+
+def test_trie_in_partitions_equals_byte_by_byte_model(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["The", "then", "thence", "é", "ñandú", chr(rng.randrange(33, 900))]) for _ in range(rng.randrange(0, 60)))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 6)
+    for often in (1, 300, 1 << 24):  # no gram is frequent, some are, all are
+        got = ppm.score(docs, *ppm.learn(docs.where(~ppm.held_out()), often=often, bucket_grams=50), ppm.held_out()).collect()
+        assert len(got) == len(want)
+        for g, w in zip(sorted(got), want, strict=True):
+            assert tuple(g)[:5] == w[:5] and math.isclose(g[6], w[6], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_order_is_kept_by_a_large_corpus(spark):
+    letters = np.random.default_rng(3).integers(97, 123, (100, 30_000), np.uint8)
+    rows = [(i, x.tobytes().decode()) for i, x in enumerate(letters)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    ((_, _, raw, off),) = tk.slices(pa.array([t for _, t in rows]), 1 << 30)
+    grams, doc = ppm.text_grams(raw, off, 6)
+    keys, n = np.unique(grams, return_counts=True)
+    assert len(keys) > 2_500_000
+    want = np.bincount(doc, ppm.Model.of(keys, n, 6).log10(grams))
+    got = ppm.score(docs, *ppm.learn(docs), ppm.held_out()).collect()
+    assert np.allclose([r["score"] for r in sorted(got)], want, rtol=1e-9)

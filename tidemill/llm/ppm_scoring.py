@@ -8,8 +8,10 @@ what exclusion takes away is a number of each context, and the pretrained model
 arrays that scores whole batches.
 
 Learning counts (order + 1)-grams of bytes over all training texts in each partition, and sums these in a shuffle. The
-trie goes to the executors whole: the order is the highest one up to ``order`` whose grams number ``most_grams`` at
-most; order 2 has 2^24 at most whatever the corpus.
+order is the same whatever the corpus, so the trie grows with it and stays in partitions. Executors hold the
+probabilities of its frequent grams, each at least a 2^24th of all and 2^21 at most; a text's other grams go
+to the buckets of the trie by their three last bytes of context: all longer contexts that end so are
+there, and those of up to two bytes, whose grams number 2^24 at most, are everywhere.
 
 A text is the UTF-8 bytes of its A-Z-lowered characters and an end mark, byte 0xFF, which also stands before the text.
 """
@@ -87,15 +89,20 @@ class Model:
     left_followers: list[np.ndarray] = field(default_factory=list)
 
     @staticmethod
-    def of(grams: np.ndarray, counts: np.ndarray, order: int) -> Model:
-        """From distinct grams of order + 1 bytes, the first byte highest, and their counts."""
+    def of(grams: np.ndarray, counts: np.ndarray, order: int, base: Model | None = None) -> Model:
+        """From distinct grams of order + 1 bytes, the first byte highest, and their counts.
+
+        A base gives the levels up to its own order; the grams then need only be all those of their contexts of more bytes."""
+        if base and base.order >= order:
+            return base
         at = np.argsort(grams)
+        least = base.order + 1 if base else 0
         levels = [(grams[at], counts[at].astype(np.int64))]
-        for k in range(order - 1, -1, -1):
+        for k in range(order - 1, least - 1, -1):
             g, inverse = np.unique(levels[-1][0] & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
             levels.append((g, np.bincount(inverse, levels[-1][1], len(g)).astype(np.int64)))
-        m = Model(order)
-        for k, (g, n) in enumerate(reversed(levels)):
+        m = Model(order, *(list(getattr(base, f)) if base else [] for f in ("grams", "counts", "contexts", "total", "followers", "left", "left_followers")))
+        for k, (g, n) in enumerate(reversed(levels), least):
             ctx = g >> np.uint64(8)
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(g)), bool), ctx[1:] != ctx[:-1])))
             add = lambda x: np.add.reduceat(x, first) if len(first) else np.zeros(0, np.int64)  # noqa: B023, E731
@@ -115,12 +122,48 @@ class Model:
                 m.left_followers.append(np.zeros(0, np.int64))
         return m
 
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """log10 of the probability of the last byte of each gram after the others."""
+        out, open_, above = np.zeros(len(grams)), np.arange(len(grams)), np.full(len(grams), -1)
+        for k in range(self.order, -1, -1):
+            g = grams[open_] & np.uint64((1 << (8 * (k + 1))) - 1)
+            node, known = _find(self.contexts[k], g >> np.uint64(8))
+            gram, seen = _find(self.grams[k], g)
+            weight, escape = np.zeros(len(g)), np.zeros(len(g))
+            fresh = known & (above[open_] < 0)
+            weight[fresh] = (self.total[k] + self.followers[k])[node[fresh]]
+            escape[fresh] = self.followers[k][node[fresh]]
+            if k < self.order:
+                down = above[open_] >= 0
+                weight[down] = self.left[k + 1][above[open_][down]]
+                escape[down] = self.left_followers[k + 1][above[open_][down]]
+            done = seen & (weight > 0)
+            out[open_[done]] += np.log10(self.counts[k][gram[done]] / weight[done])
+            on = ~done & (weight > 0)
+            out[open_[on]] += np.log10(escape[on] / weight[on])
+            above[open_[known]] = node[known]
+            open_ = open_[~done]
+        root = int(self.followers[0][0]) if len(self.followers[0]) else 0
+        out[open_] -= math.log10(max(256 - root, 1))
+        return out
+
+
+def _find(where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(where, keys), max(len(where) - 1, 0))
+    return at, where[at] == keys if len(where) else np.zeros(len(keys), bool)
+
+
+@dataclass
+class Often:
+    """The frequent grams and log10 of their probabilities."""
+
+    grams: np.ndarray
+    logs: np.ndarray
+
     def table(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Grams of the highest order in an open-addressing table with log10 of their probabilities, made once a process."""
+        """Both in an open-addressing table, made once a process."""
         if not hasattr(self, "_table"):
-            g = self.grams[-1]
-            node = np.searchsorted(self.contexts[-1], g >> np.uint64(8))
-            value = np.log10(self.counts[-1] / (self.total[-1] + self.followers[-1])[node]) if len(g) else np.zeros(0)
+            g = self.grams
             bits = max(4, int(len(g)).bit_length() + 1)
             keys, values = np.full(1 << bits, np.uint64(2**64 - 1)), np.zeros(1 << bits)
             todo = np.arange(len(g))
@@ -129,20 +172,20 @@ class Model:
                 free = keys[slot] == np.uint64(2**64 - 1)
                 _, pick = np.unique(slot[free], return_index=True)
                 won = np.flatnonzero(free)[pick]
-                keys[slot[won]], values[slot[won]] = g[todo[won]], value[todo[won]]
+                keys[slot[won]], values[slot[won]] = g[todo[won]], self.logs[todo[won]]
                 rest = np.ones(len(todo), bool)
                 rest[won] = False
                 todo, slot = todo[rest], (slot[rest] + 1) & ((1 << bits) - 1)
             self._table = keys, values, bits
         return self._table
 
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        """log10 of the probability of the last byte of each gram after the others."""
+    def log10(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 of the probability of each gram or 0, places of the grams that are not frequent)."""
         keys, values, bits = self.table()
         slot = _slots(grams, bits)
         out = values[slot]
         wrong = np.flatnonzero(keys[slot] != grams)
-        missing = []
+        missing = [np.zeros(0, np.int64)]
         slot = slot[wrong]
         while len(wrong):
             empty = keys[slot] == np.uint64(2**64 - 1)
@@ -151,39 +194,20 @@ class Model:
             hit = keys[slot] == grams[wrong]
             out[wrong[hit]] = values[slot[hit]]
             wrong, slot = wrong[~hit], slot[~hit]
-        if missing:
-            missing = np.concatenate(missing)
-            odd, inverse = np.unique(grams[missing], return_inverse=True)
-            out[missing] = self._escaped(odd)[inverse]
-        return out
+        missing = np.concatenate(missing)
+        out[missing] = 0
+        return out, missing
 
-    def _find(self, where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(where, keys), max(len(where) - 1, 0))
-        return at, where[at] == keys if len(where) else np.zeros(len(keys), bool)
 
-    def _escaped(self, grams: np.ndarray) -> np.ndarray:
-        out, open_, above = np.zeros(len(grams)), np.arange(len(grams)), np.full(len(grams), -1)
-        for k in range(self.order, -1, -1):
-            g = grams[open_] & np.uint64((1 << (8 * (k + 1))) - 1)
-            node, known = self._find(self.contexts[k], g >> np.uint64(8))
-            gram, seen = self._find(self.grams[k], g)
-            weight, escape = np.zeros(len(g)), np.zeros(len(g))
-            fresh = known & (above[open_] < 0)
-            weight[fresh] = (self.total[k] + self.followers[k])[node[fresh]]
-            escape[fresh] = self.followers[k][node[fresh]]
-            if k < self.order:
-                down = above[open_] >= 0
-                weight[down] = self.left[k + 1][above[open_][down]]
-                escape[down] = self.left_followers[k + 1][above[open_][down]]
-            done = seen & (weight > 0)
-            out[open_[done]] += np.log10(self.counts[k][gram[done]] / weight[done])
-            on = ~done & (weight > 0)
-            out[open_[on]] += np.log10(escape[on] / weight[on])
-            above[open_[known]] = node[known]
-            open_ = open_[~done]
-        root = int(self.followers[0][0]) if len(self.followers[0]) else 0
-        out[open_] -= math.log10(max(256 - root, 1))
-        return out
+@dataclass
+class Trained:
+    """The trie of a corpus: its contexts of up to two bytes, its frequent grams, and all its grams (bucket, key, n)."""
+
+    order: int
+    base: Model
+    often: Often
+    grams: DataFrame
+    buckets: int
 
 
 def _slots(grams: np.ndarray, bits: int) -> np.ndarray:
@@ -255,59 +279,114 @@ class Words:
     logs: np.ndarray
 
 
-def learn(texts: DataFrame, text_col: str = "text", order: int = 6, most_grams: int = 2_500_000) -> tuple[Model, Words, DataFrame]:
-    """(trie, word sums, counts of all tokens) of all rows of texts."""
+def _bucket(buckets: int) -> Column:
+    """The bucket of a key's three bytes before the last."""
+    return F.pmod(F.xxhash64(F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << 24) - 1))), F.lit(buckets))
+
+
+def _suffixes(grams: DataFrame, order: int) -> DataFrame:
+    return grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
+
+
+def learn(texts: DataFrame, text_col: str = "text", order: int = 6, most_grams: int | None = None, often: int = 1 << 24, most_often: int = 1 << 21, bucket_grams: int = 20_000) -> tuple[Trained, Words, DataFrame]:
+    """(trie, word sums, counts of all tokens) of all rows of texts.
+
+    Grams of at least one in ``often`` of all are frequent; where these are over ``most_often``, fewer are. The order is fixed unless a caller asks for a trie of ``most_grams`` at most."""
     counts = texts.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(lambda it: _counted(it, order), "kind int, key long, n long")
     counts = shared.saved(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    grams = counts.where("kind = 0")
-    while order > 2 and grams.count() > most_grams:
+    grams = counts.where("kind = 0").select("key", "n")
+    all_grams = grams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    distinct = all_grams["v"]
+    while most_grams is not None and order > 2 and distinct > most_grams:
         order -= 1
-        grams = shared.saved(grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n")))
-    table = grams.select("key", "n").toArrow()
-    model = Model.of(table["key"].to_numpy().view(np.uint64), table["n"].to_numpy(), order)
+        grams = shared.saved(_suffixes(grams, order))
+        distinct = grams.count()
+    least = min(order, 2)
+    table = _suffixes(grams, least).toArrow()
+    base = Model.of(table["key"].to_numpy().view(np.uint64), table["n"].to_numpy(), least)
+    ctx = F.shiftrightunsigned("key", 8)
+    weights = grams.groupBy(ctx.alias("ctx")).agg((F.sum("n") + F.count("*")).alias("weight"))
+    frequent = lambda: grams.where(F.col("n") * F.lit(float(often)) >= F.lit(float(all_grams["n"])))
+    while often > most_often and frequent().count() > most_often:
+        often //= 2
+    table = frequent().withColumn("ctx", ctx).join(weights, "ctx").select("key", F.log10(F.col("n") / F.col("weight")).alias("log")).toArrow()
+    buckets = -(-max(distinct, 1) // bucket_grams)
+    trained = Trained(order, base, Often(table["key"].to_numpy().view(np.uint64), table["log"].to_numpy()), grams.select(_bucket(buckets).alias("bucket"), "key", "n"), buckets)
     tokens = counts.where("kind = 1").select("key", "n")
     sums = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    often = tokens.where(F.col("n") * F.lit(float(1 << 20)) >= F.lit(float(sums["n"]))).toArrow()  # each has a 2^20th of all tokens
-    keys, n = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    words = tokens.where(F.col("n") * F.lit(float(1 << 20)) >= F.lit(float(sums["n"]))).toArrow()  # each has a 2^20th of all tokens
+    keys, n = words["key"].to_numpy().view(np.uint64), words["n"].to_numpy()
     at = np.argsort(keys)
-    return model, Words(sums["n"], sums["v"], keys[at], np.log10(n[at] + 1.0)), tokens
+    return trained, Words(sums["n"], sums["v"], keys[at], np.log10(n[at] + 1.0)), tokens
+
+
+def _lists(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> pa.ListArray:
+    by = np.argsort(doc, kind="stable")
+    ends = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n_docs)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[by].view(np.int64)))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model, words: Words) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], order: int, often: Often, words: Words) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, raw, off in tk.slices(batch.column("_text")):
             n_docs = b - a
-            grams, doc = text_grams(raw, off, model.order)
-            score = np.bincount(doc, model.log10(grams), n_docs)
+            grams, doc = text_grams(raw, off, order)
+            found, seldom = often.log10(grams)
+            score = np.bincount(doc, found, n_docs)
             starts, ends, n_words = tk.word_spans(raw, off)
             h = np.concatenate((tk.word_hashes(raw, starts, ends), np.full(n_docs, END_TOKEN, np.int64).view(np.uint64)))
             own = np.concatenate((np.repeat(np.arange(n_docs), n_words), np.arange(n_docs)))
-            at, known = model._find(words.keys, h)
+            at, known = _find(words.keys, h)
             logs = np.bincount(own[known], words.logs[at[known]], n_docs) if len(words.keys) else np.zeros(n_docs)
-            rare, rare_doc = h[~known], own[~known]
-            by = np.argsort(rare_doc, kind="stable")
-            ends_at = np.concatenate(([0], np.cumsum(np.bincount(rare_doc, minlength=n_docs)))).astype(np.int32)
             part = batch.slice(a, n_docs)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(n_words + 1), pa.array(np.bincount(own[known], minlength=n_docs)), pa.array(logs), pa.array(score), pa.ListArray.from_arrays(pa.array(ends_at), pa.array(rare[by].view(np.int64)))],
-                names=["id", "held_out", "n_tokens", "n_often", "logs", "score", "rare"],
+                [part.column(0), part.column(1), pa.array(n_words + 1), pa.array(np.bincount(own[known], minlength=n_docs)), pa.array(logs), pa.array(score), _lists(h[~known], own[~known], n_docs), _lists(grams[seldom], doc[seldom], n_docs)],
+                names=["id", "held_out", "n_tokens", "n_often", "logs", "score", "rare", "grams"],
             )
 
 
-def score(docs: DataFrame, model: Model, words: Words, tokens: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _looked_up(batches: Iterator[pa.RecordBatch], order: int, base: Model) -> Iterator[pa.RecordBatch]:
+    """(row, log): sums for the grams of texts. Rows come by bucket and row; those of the trie, of row -1, are a bucket's first."""
+    now, held, model = None, [], None
+    for batch in batches:
+        bucket, row, key, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+        cuts = np.flatnonzero(np.concatenate((np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1])))
+        for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+            if bucket[a] != now:
+                now, held, model = bucket[a], [(np.zeros(0, np.int64), np.zeros(0, np.int64))], None
+            c = a + int(np.searchsorted(row[a:b], 0))
+            if c > a:
+                held.append((key[a:c], n[a:c]))
+            if c == b:
+                continue
+            if model is None:
+                model = Model.of(*(np.concatenate(x) for x in zip(*((k.view(np.uint64), m) for k, m in held), strict=True)), order, base)
+            odd, inverse = np.unique(key[c:b].view(np.uint64), return_inverse=True)
+            own = row[c:b]
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            yield pa.RecordBatch.from_arrays([pa.array(own[first]), pa.array(np.add.reduceat(model.log10(odd)[inverse], first))], names=["row", "log"])
+
+
+def score(docs: DataFrame, model: Trained, words: Words, tokens: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; a null text scores as an empty one."""
-    held = docs.sparkSession.sparkContext.broadcast((model, words))
+    context, order = docs.sparkSession.sparkContext, model.order
+    held, base = context.broadcast((model.often, words)), context.broadcast(model.base)
     source = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     kind = dict(source.dtypes)["id"]
-    first = shared.saved(source.mapInArrow(lambda it: _scored(it, *held.value), f"id {kind}, held_out boolean, n_tokens long, n_often long, logs double, score double, rare array<long>"))
+    first = shared.saved(source.mapInArrow(lambda it: _scored(it, order, *held.value), f"id {kind}, held_out boolean, n_tokens long, n_often long, logs double, score double, rare array<long>, grams array<long>"))
     first = first.withColumn("row", F.monotonically_increasing_id())  # fixed, as first is stored
     seldom = tokens.where(F.col("n") * F.lit(float(1 << 20)) < F.lit(float(words.total)))
     found = first.select("row", F.explode("rare").alias("key")).join(seldom, "key").groupBy("row").agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_logs"))
-    out = first.join(found, "row", "left")
     none = F.lit(0).cast("long")
+    asked = first.select("row", F.explode("grams").alias("key")).select(_bucket(model.buckets).alias("bucket"), "row", "key", none.alias("n"))
+    both = asked.union(model.grams.select("bucket", F.lit(-1).cast("long").alias("row"), "key", "n"))
+    # whole buckets meet in a task, one at a time
+    looked_up = both.repartition("bucket").sortWithinPartitions("bucket", "row").mapInArrow(lambda it: _looked_up(it, order, base.value), "row long, log double")
+    out = first.drop("rare", "grams").join(found, "row", "left").join(looked_up.groupBy("row").agg(F.sum("log").alias("gram_logs")), "row", "left")
     return out.select(
         "id", "held_out", "n_tokens", (F.col("n_often") + F.coalesce("n_rare", none)).alias("n_known"), F.lit(words.total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(words.total + words.distinct + 1))).alias("base_score"), "score",
+        (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(words.total + words.distinct + 1))).alias("base_score"),
+        (F.col("score") + F.coalesce("gram_logs", F.lit(0.0))).alias("score"),
     )
 
 
