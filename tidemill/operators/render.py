@@ -132,7 +132,7 @@ def shared_top_folder(spark, sf_dir):
 
 
 def stored_bodies(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", stored_body(F.col("text"), 1000).alias("s")).select("doc_id", F.sha1(F.encode("s.body", "UTF-8")).alias("body_sha1"), "s.body_truncated")
+    return read(spark, sf_dir, "documents").select("doc_id", stored_body(F.col("text")).alias("s")).select("doc_id", F.sha1(F.encode("s.body", "UTF-8")).alias("body_sha1"), "s.body_truncated")
 
 
 def description_md(spark, sf_dir):
