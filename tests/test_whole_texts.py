@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from tidemill import catalogue
 
@@ -11,3 +12,24 @@ def ran(spark, folder, name, texts):
 def test_stored_bodies(spark, tmp_path):
     texts = ["é" * 1000, "é𝔘" * 700, "b" * 50_000, "c" * 50_001]
     assert ran(spark, tmp_path, "stored_bodies", texts) == [(hashlib.sha1(t[:50_000].encode()).hexdigest(), len(t) > 50_000) for t in texts]
+
+
+def test_title_strip_suffix(spark, tmp_path):
+    texts = ["long " * 20 + "title. rest", ". " + "x" * 90, "no suffix " * 9, "short. rest"]
+    assert ran(spark, tmp_path, "title_strip_suffix", texts) == [("long " * 20 + "title",), (texts[1],), (texts[2].strip(),), ("short",)]
+
+
+def test_unblocked_line(spark, tmp_path):
+    texts = ["# " + "x" * 200, "y" * 200, " " * 90 + "- z"]
+    assert ran(spark, tmp_path, "unblocked_line", texts) == [("\\" + texts[0],), (texts[1],), ("\\" + texts[2],)]
+
+
+def test_tag_normalise(spark, tmp_path):
+    texts = [" ".join(f"Tag_{k % 70} -A/b{k}-" for k in range(150)), "one One"]
+    tag = lambda w: re.sub("^[-/]+|[-/]+$", "", re.sub("-*/-*", "/", re.sub("[^a-z0-9/]+", "-", w.lower())))
+    assert ran(spark, tmp_path, "tag_normalise", texts) == [(" ".join(dict.fromkeys(tag(w) for w in t.split(" "))),) for t in texts]
+
+
+def test_link_facts(spark, tmp_path):
+    texts = ["a title of under eighty characters with what has been cut after sixty", "x" * 74]
+    assert [r[0] for r in ran(spark, tmp_path, "link_facts", texts)] == [texts[0], None]

@@ -73,7 +73,7 @@ PAIRS = {
     "leaf_dir_name": scalar("pages", "page_id url", dir=(lambda: u.leaf_dir("site", c()), f"'_raw/site/' || {SLUG(f'CASE WHEN {SEGMENTS} = {chr(39) * 2} THEN lower({NETLOC}) ELSE {SEGMENTS} END')} || '--' || {HASH8}")),
     "page_path_guard": scalar("pages", "page_id", ok=(lambda: u.page_path_ok(F.concat(F.when(c("page_id") % 4 == 0, "../").when(c("page_id") % 4 == 1, ".x/").when(c("page_id") % 4 == 2, "/").otherwise("a/"), c("page_id").cast("string"), F.lit(".md"))), "page_id % 4 = 3")),
     "title_fold": scalar("documents", "doc_id", folded=(lambda: t.fold(c("text")), FOLD("text"))),
-    "title_strip_suffix": scalar("documents", "doc_id", stripped=(lambda: t.strip_suffix(F.left(c("text"), F.lit(60)), "."), "CASE WHEN trim(string_split(left(text, 60), '.')[1]) = '' THEN left(text, 60) ELSE trim(string_split(left(text, 60), '.')[1]) END")),
+    "title_strip_suffix": scalar("documents", "doc_id", stripped=(lambda: t.strip_suffix(c("text"), "."), "CASE WHEN trim(string_split(left(text, 60), '.')[1]) = '' THEN left(text, 60) ELSE trim(string_split(left(text, 60), '.')[1]) END")),
     "name_stem": scalar("pages", "page_id", stem=(lambda: t.name_stem(F.concat(u.path(c()), F.lit(".html"))), _sub(f"({PATH} || '.html')", "[.][A-Za-z0-9]{1,5}$"))),
     "title_qualifier": scalar("documents", "doc_id", qualifier=(lambda: t.qualifier(c("text")), _sub(f"left({FOLD(_sub('text', '[\\x00-\\x1f\\\\/:*?\"<>|]', '-'))}, 60)", "^[ .-]+|[ .-]+$"))),
     "host_line": scalar("documents", "doc_id", line=(lambda: t.host_line(c("text")), HOST_LINE)),
@@ -81,11 +81,11 @@ PAIRS = {
     "table_cell": scalar("documents", "doc_id", cell=(lambda: t.table_cell(c("text")), f"replace(replace({FOLD('text')}, chr(92), chr(92) || chr(92)), '|', chr(92) || '|')")),
     "plain_quotes": scalar("documents", "doc_id", plain=(lambda: t.plain_quotes(c("text")), f"replace({FOLD('text')}, '`', '''')")),
     "video_plain": scalar("pages", "page_id", plain=(lambda: t.video_plain(c("html")), _sql_swaps("html", (("<", "&lt;"), ("[[", "\\[\\["), ("%%", "%\\%"), ("$$", "$\\$"))))),
-    "unblocked_line": scalar("documents", "doc_id", line=(lambda: t.unblocked(F.left(c("text"), F.lit(80))), "CASE WHEN regexp_matches(left(text, 80), '^\\s*([#>+*-]|[0-9]+[.)]|```|~~~|\\|)') THEN chr(92) || left(text, 80) ELSE left(text, 80) END")),
+    "unblocked_line": scalar("documents", "doc_id", line=(lambda: t.unblocked(c("text")), "CASE WHEN regexp_matches(left(text, 80), '^\\s*([#>+*-]|[0-9]+[.)]|```|~~~|\\|)') THEN chr(92) || left(text, 80) ELSE left(text, 80) END")),
     "safe_id": scalar("pages", "page_id", ident=(lambda: t.safe_id(c()), f"nullif(left({_sub(_sub('url', '[^A-Za-z0-9_-]+', '_'), '^_+|_+$')}, 120), '')")),
     "pointers": scalar("pages", "page_id", mail=(lambda: t.mail_pointer(c("page_id").cast("string")), "'gmail:' || page_id"), task=(lambda: t.task_pointer(F.when(c("page_id") % 2 == 0, F.md5(F.encode(c(), "UTF-8"))).otherwise(c("page_id").cast("string"))), "CASE WHEN page_id % 2 = 0 THEN 'https://www.notion.so/' || md5(url) ELSE 'notion:' || page_id END")),
     "id_in_name": scalar("pages", "page_id", ident=(lambda: t.id_in_name(F.concat(F.lit("0001--a--"), c("page_id").cast("string"), F.lit(".json"))), "'a--' || page_id")),
-    "tag_normalise": scalar("documents", "doc_id", tags=(lambda: F.array_join(t.tags(F.split(F.left(c("text"), F.lit(200)), " ", -1)), " "), f"array_to_string(list_filter(list_transform(string_split(left(text, 200), ' '), lambda x: {_sub(_sub(_sub('lower(x)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')}), lambda x, i: x <> '' AND NOT list_contains(list_transform(string_split(left(text, 200), ' '), lambda y: {_sub(_sub(_sub('lower(y)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')})[:i - 1], x)), ' ')")),
+    "tag_normalise": scalar("documents", "doc_id", tags=(lambda: F.array_join(t.tags(F.split(c("text"), " ", -1)), " "), f"array_to_string(list_filter(list_transform(string_split(left(text, 200), ' '), lambda x: {_sub(_sub(_sub('lower(x)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')}), lambda x, i: x <> '' AND NOT list_contains(list_transform(string_split(left(text, 200), ' '), lambda y: {_sub(_sub(_sub('lower(y)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')})[:i - 1], x)), ' ')")),
     "date_valid": scalar("events", "event_id", valid=(lambda: d.valid_date(F.concat(F.date_format("ts", "yyyy-MM"), F.lit("-"), F.lpad((c("event_id") % 40).cast("string"), 2, "0"))), "CASE WHEN try_cast(strftime(ts, '%Y-%m') || '-' || lpad(CAST(event_id % 40 AS VARCHAR), 2, '0') AS DATE) IS NOT NULL THEN strftime(ts, '%Y-%m') || '-' || lpad(CAST(event_id % 40 AS VARCHAR), 2, '0') END"), shaped=(lambda: d.day_shape(F.concat(F.date_format("ts", "yyyy-MM"), F.lit("-99"))), "strftime(ts, '%Y-%m') || '-99'")),
     "date_compact": scalar("events", "event_id", day=(lambda: d.compact_day(F.date_format("ts", "yyyyMMdd")), "strftime(ts, '%Y-%m-%d')"), cut=(lambda: d.day_part(F.date_format("ts", "yyyy-MM-dd'T'HH")), "strftime(ts, '%Y-%m-%d')")),
     "time_epoch": scalar("events", "event_id", ms=(lambda: d.epoch_ms(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")), MS), stamp=(lambda: d.stamp(F.unix_millis(F.col("ts").cast("timestamp"))), f"lpad(CAST({MS} AS VARCHAR), 13, '0')"), iso=(lambda: d.iso(F.unix_millis(F.col("ts").cast("timestamp"))), "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"), day=(lambda: d.day_of(F.unix_millis(F.col("ts").cast("timestamp"))), "strftime(ts, '%Y-%m-%d')"), midnight=(lambda: d.from_day(F.date_format("ts", "yyyy-MM-dd")), "epoch_ms(date_trunc('day', ts))")),
@@ -103,7 +103,7 @@ SELECT page_id, CASE WHEN title = '' THEN 'Untitled' WHEN lower(title) = 'index'
 )
 
 PAIRS["title_keys"] = (scalar("pages", "page_id", key=(lambda: t.page_key(F.regexp_extract("html", TITLE, 1)), ""), matched=(lambda: t.match_title(F.regexp_extract("html", TITLE, 1)), ""))[0], "")
-PAIRS["link_facts"] = (scalar("documents", "doc_id", title=(lambda: t.link_title(F.concat(F.lit("12:34\n"), F.left("text", F.lit(60)))), ""), duration=(lambda: t.link_duration(F.concat(F.lit("12:34\n"), c("text"))), ""), card=(lambda: t.card_name(c("text")), ""))[0], "")
+PAIRS["link_facts"] = (scalar("documents", "doc_id", title=(lambda: t.link_title(F.concat(F.lit("12:34\n"), c("text"))), ""), duration=(lambda: t.link_duration(F.concat(F.lit("12:34\n"), c("text"))), ""), card=(lambda: t.card_name(c("text")), ""))[0], "")
 PAIRS["quoted_text"] = (scalar("documents", "doc_id", quoted=(lambda: t.quoted(c("text")), ""), cut=(lambda: t.cut_bytes(c("text"), 100), ""), task_line=(lambda: t.bullet_line_task(c("text")), ""))[0], "")
 
 QUERIES, ORACLES = split(PAIRS)
