@@ -43,3 +43,22 @@ def test_nothing_to_learn_from(spark):
     model = fm.train(docs, labels)
     assert all(abs(r["score"] - 0.5) < 0.01 for r in fm.score(docs, model).collect())
     assert fm.score(docs.limit(0), model, keep=("doc_id",)).collect() == []
+
+
+def test_fit_reads_every_word(spark):
+    # what tells the labels apart is never among 1 000 evenly spaced words
+    rng = random.Random(5)
+    kinds = [["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(50)] for _ in range(2)]
+    rows = [(i, " ".join("aaaaa" if k % 4 == 0 else rng.choice(kinds[i % 2]) for k in range(4000))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = fm.train(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"))
+    got = fm.score(docs, model, keep=("doc_id",)).where("doc_id >= 60").collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got)
+
+
+def test_same_rows_in_any_order(spark):
+    rng = random.Random(6)
+    rows = [(i % 12, text(rng, i % 2)) for i in range(48)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    a, b = (fm.train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels, sample=12) for r, n in ((rows, 1), (rows[::-1], 3)))
+    assert a.w0 == b.w0 and np.array_equal(a.word, b.word)

@@ -105,11 +105,11 @@ def _scores(model: Model, bucket: np.ndarray, words: np.ndarray, stats: np.ndarr
     return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 60, seed: int = 1, rate: float = 0.02) -> Model:
-    """A model of (buckets, statistics, label) rows; without both labels it scores all texts nearly alike."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], epochs: int = 60, seed: int = 1, rate: float = 0.02) -> Model:
+    """A model of (buckets, words in each, statistics, label) rows; without both labels it scores all texts nearly alike."""
     rng = np.random.default_rng(seed)
-    stats = np.asarray([r[1] for r in rows]).reshape(len(rows), STATS)
-    y = np.asarray([r[2] for r in rows], np.float64)
+    stats = np.asarray([r[2] for r in rows]).reshape(len(rows), STATS)
+    y = np.asarray([r[3] for r in rows], np.float64)
     mean = stats.mean(0) if len(rows) else np.zeros(STATS)
     scale = np.maximum(stats.std(0), 1e-3) if len(rows) else np.ones(STATS)
     params = [np.zeros(1), rng.normal(0, 0.01, (BUCKETS, 1 + RANK)), rng.normal(0, 0.01, (STATS, 1 + RANK))]
@@ -126,20 +126,22 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 60, seed:
         for a in range(0, len(rows), size):
             pick = order[a : a + size]
             n = np.asarray([len(rows[i][0]) for i in pick])
-            bucket = np.concatenate([rows[i][0] for i in pick]) if n.sum() else np.zeros(0, np.int64)
+            bucket = np.concatenate([rows[i][0] for i in pick]).astype(np.int64)
+            times = np.concatenate([rows[i][1] for i in pick]).astype(np.float64)
             doc = np.repeat(np.arange(len(pick)), n)
-            x = 1 / np.sqrt(np.maximum(n, 1))[doc]
+            x = 1 / np.sqrt(np.maximum(np.bincount(doc, times, len(pick)), 1))[doc]
+            xs = times * x  # each occurrence is a feature of its own
             vw = params[1][bucket]
             total = z[pick] @ params[2]
             for k in range(1 + RANK):
-                total[:, k] += np.bincount(doc, vw[:, k] * x, len(pick))
-            square = (z[pick] ** 2) @ (params[2][:, 1:] ** 2).sum(1) + np.bincount(doc, (vw[:, 1:] ** 2).sum(1) * x**2, len(pick))
+                total[:, k] += np.bincount(doc, vw[:, k] * xs, len(pick))
+            square = (z[pick] ** 2) @ (params[2][:, 1:] ** 2).sum(1) + np.bincount(doc, (vw[:, 1:] ** 2).sum(1) * x * xs, len(pick))
             raw = params[0][0] + total[:, 0] + 0.5 * ((total[:, 1:] ** 2).sum(1) - square)
             g = weight[pick] * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[pick]) / len(pick)
             grads = [np.asarray([g.sum()]), np.zeros_like(params[1]), np.empty_like(params[2])]
-            grads[1][:, 0] = np.bincount(bucket, g[doc] * x, BUCKETS)
+            grads[1][:, 0] = np.bincount(bucket, g[doc] * xs, BUCKETS)
             for k in range(1, 1 + RANK):
-                grads[1][:, k] = np.bincount(bucket, g[doc] * x * (total[doc, k] - vw[:, k] * x), BUCKETS)
+                grads[1][:, k] = np.bincount(bucket, g[doc] * xs * (total[doc, k] - vw[:, k] * x), BUCKETS)
             grads[2][:, 0] = z[pick].T @ g
             grads[2][:, 1:] = z[pick].T @ (g[:, None] * total[:, 1:]) - ((z[pick] ** 2).T @ g)[:, None] * params[2][:, 1:]
             step += 1
@@ -151,27 +153,29 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 60, seed:
     return Model(float(params[0][0]), params[1], params[2], mean, scale)
 
 
-def _feature_rows(batches: Iterator[pa.RecordBatch], most_words: int) -> Iterator[pa.RecordBatch]:
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labels and order of texts with their buckets, the words in each bucket, and statistics."""
     for batch in batches:
         for a, b, raw, off in tk.slices(batch.column("text")):
             bucket, words, stats = features(raw, off)
             at = np.concatenate(([0], np.cumsum(words)))
-            # a text of very many words gives evenly spaced ones to the fit; scoring reads them all
-            own = [bucket[x : y : max(1, -(-(y - x) // most_words))].astype(np.int32) for x, y in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("label")[a:b], pa.array([o.tobytes() for o in own], pa.binary()), pa.array([s.tobytes() for s in stats], pa.binary())], names=["label", "buckets", "stats"])
+            own = [np.unique(bucket[x:y], return_counts=True) for x, y in zip(at[:-1], at[1:], strict=True)]
+            parts = ([k.astype(np.int16).tobytes() for k, _ in own], [n.astype(np.int32).tobytes() for _, n in own], [x.tobytes() for x in stats])
+            yield pa.RecordBatch.from_arrays([batch.column("label")[a:b], batch.column("o")[a:b], *(pa.array(x, pa.binary()) for x in parts)], names=["label", "o", "buckets", "times", "stats"])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, most_words: int = 1000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000) -> Model:
     """A model fitted on at most sample of the labelled rows, picked by a hash of their id.
 
-    The bound keeps what the driver gathers below sample * (4 * most_words + 8 * STATS) bytes. Null labels and ids
+    The bound keeps what the driver gathers below 2 * sample * (6 * BUCKETS + 8 * STATS) bytes, as a text has BUCKETS buckets at most. Null labels and ids
     teach nothing; of an id labelled twice the larger label counts."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "_id")  # sample rows at most
-    rows = texts.select("label", "text", F.xxhash64("_id").alias("o")).mapInArrow(lambda it: _feature_rows(it, most_words), "label int, buckets binary, stats binary").limit(2 * sample).collect()
-    rows = sorted((bytes(r["stats"]), bytes(r["buckets"]), r["label"]) for r in rows)  # as tasks end in any order
-    return fit([(np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(s), y) for s, b, y in rows])
+    rows = texts.select("label", "text", F.xxhash64("_id").alias("o")).mapInArrow(_feature_rows, "label int, o long, buckets binary, times binary, stats binary")
+    rows = rows.orderBy("o", "stats", "buckets", "times", "label").limit(2 * sample).collect()  # more than sample where docs repeat ids
+    rows = sorted((bytes(r["stats"]), bytes(r["buckets"]), bytes(r["times"]), r["label"]) for r in rows)
+    return fit([(np.frombuffer(b, np.int16), np.frombuffer(n, np.int32), np.frombuffer(s), y) for s, b, n, y in rows])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
