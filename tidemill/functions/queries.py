@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import text as t
 from tidemill.functions import times as d
 from tidemill.functions import urls as u
-from tidemill.registry import scalar, split
+from tidemill.registry import made, scalar, split
 
 
 
@@ -54,11 +54,47 @@ HOST_LINE = _sub(_sql_swaps(FOLD("text"), (("<", "‹"), (">", "›"), ("—", "
 BULLET = _sub(_sql_swaps(f"translate({FOLD('text')}, '`[]', '''()')", (("<", "‹"), (">", "›"), ("—", "-"), ("*", "∗"), ("|", "¦"), ("://", ":∕∕"))), r"(?i)\bwww[.]", "www․")
 MS = "(epoch_us(ts) // 1000)"
 
+BACK = "\\"
+
+# addresses of both outcomes: each page's own, and shapes that the rules tell apart
+URLS = {"url": [
+    (lambda: c("url"), "url"), (lambda: F.concat(c("url"), F.lit(";rm$x&y!")), "url || ';rm$x&y!'"), (lambda: F.concat(F.lit("https://localhost/"), c("page_id").cast("string")), "'https://localhost/' || page_id"),
+    (lambda: F.concat(F.lit("HTTPS://u@Ex.com:80/a#"), c("page_id").cast("string")), "'HTTPS://u@Ex.com:80/a#' || page_id"), (lambda: F.concat(F.lit("https://ex.com:99999/"), c("page_id").cast("string")), "'https://ex.com:99999/' || page_id"),
+    (lambda: F.concat(F.lit("Http://Ex.co-m.de:80/a(b)/"), c("page_id").cast("string")), "'Http://Ex.co-m.de:80/a(b)/' || page_id"), (lambda: F.concat(F.lit("https://-ex.com/é |"), c("page_id").cast("string")), "'https://-ex.com/é |' || page_id"),
+    (lambda: F.concat(F.lit("https://u@Ex.com:80/a#"), c("page_id").cast("string")), "'https://u@Ex.com:80/a#' || page_id"), (lambda: F.lit("https:///x"), "'https:///x'"),
+]}
+PROSE = {"prose": [(lambda: F.concat(c("html"), F.lit(" [[x]] 5%%% [a](javascript:1)")), "html || ' [[x]] 5%%% [a](javascript:1)'"), (lambda: F.concat(F.lit("$$$ [b](https://e.com) [c](http) "), c("html")), "'$$$ [b](https://e.com) [c](http) ' || html")]}
+
+# the twins of the address rules say them by character lists and parts, without the patterns of the functions
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+ONLY = lambda x, allowed: f"translate(lower({x}), '{allowed}', '') = ''"
+CUT_AT = lambda x, *marks: CUT_AT(f"string_split({x}, '{marks[0]}')[1]", *marks[1:]) if marks else x
+NET_OF = lambda x: CUT_AT(f"substr({x}, strpos({x}, '://') + 3)", "/", "?", "#")
+HOST_OF = lambda x: f"lower(string_split(string_split({NET_OF(x)}, '@')[-1], ':')[1])"
+PORT_OF = lambda x: f"coalesce(nullif(string_split(string_split({NET_OF(x)}, '@')[-1], ':')[2], ''), '0')"
+LABELS = lambda x: f"string_split({HOST_OF(x)}, '.')"
+SAFE_URL = lambda x: (
+    f"((starts_with({x}, 'http://') OR starts_with({x}, 'https://')) AND {ONLY(x, LETTERS + '._~:/?#@=%+,-')} AND length({HOST_OF(x)}) <= 253 AND len({LABELS(x)}) > 1"
+    f" AND len(list_filter({LABELS(x)}, lambda l: l = '' OR starts_with(l, '-') OR ends_with(l, '-') OR translate(l, '{LETTERS}-', '') <> '')) = 0 AND coalesce(try_cast({PORT_OF(x)} AS INTEGER), 65536) <= 65535)"
+)
+SAFE = SAFE_URL("url")
+BARE_URL = lambda x: f"string_split(trim({x}), '#')[1]"
+LOW_URL = lambda x: f"lower(substr({BARE_URL(x)}, 1, strpos({BARE_URL(x)}, ':') - 1)) || substr({BARE_URL(x)}, strpos({BARE_URL(x)}, ':'))"
+COURSE_OF = lambda x: (
+    f"CASE WHEN (starts_with({LOW_URL(x)}, 'http://') OR starts_with({LOW_URL(x)}, 'https://')) AND {NET_OF(BARE_URL(x))} <> '' AND {ONLY(f'string_split({NET_OF(BARE_URL(x))}, chr(58))[1]', LETTERS + '.-')} AND string_split({NET_OF(BARE_URL(x))}, ':')[1] <> ''"
+    f" AND {ONLY(BARE_URL(x), LETTERS + '._~/?=%+,:@-')} AND NOT contains({NET_OF(BARE_URL(x))}, '@') AND coalesce(try_cast({PORT_OF(BARE_URL(x))} AS INTEGER), 65536) <= 65535 AND length({BARE_URL(x)}) <= 2000 THEN {LOW_URL(x)} END"
+)
+COURSE = COURSE_OF("url")
+LINK = "url_encode(url)"
+for _mark in ":/?#@!$&'+,;=%":  # the percent sign last
+    LINK = f"replace({LINK}, '%{ord(_mark):02X}', '{_mark.replace(chr(39), chr(39) * 2)}')"
+
 PAIRS = {
-    "url_clean_course": scalar("pages", "page_id url", cleaned=(lambda: u.clean_course(c()), f"CASE WHEN regexp_matches({CLEAN}, '{u.COURSE_URL}') AND length({CLEAN}) <= 2000 AND NOT contains({NETLOC}, '@') THEN {CLEAN} END")),
-    "url_safe_sitemap": scalar("pages", "page_id url", safe=(lambda: u.safe_sitemap(c()), f"CASE WHEN regexp_matches(url, '{u.SITEMAP_URL}') AND length(url) <= 2000 THEN url END")),
+    "url_clean_course": made("pages", "page_id", URLS, cleaned=(lambda: u.clean_course(c()), COURSE)),
+    "url_safe_sitemap": made("pages", "page_id", URLS, safe=(lambda: u.safe_sitemap(c()), f"CASE WHEN {SAFE} THEN url END")),
+    "url_link_target": made("pages", "page_id", URLS, target=(lambda: u.link_target(c()), LINK)),
     "url_http": scalar("pages", "page_id url", http=(lambda: u.http_url(F.concat(F.lit(" "), c(), F.lit(" "))), "CASE WHEN regexp_matches(url, '^(?i:https?)://[^/?#\\pC\\pZ]+[^\\pC\\pZ]*$') THEN url END"), is_http=(lambda: u.is_http(c()), "coalesce(regexp_matches(url, '^(?i:https?)://[^/?#]+'), false)")),
-    "url_clean_video": scalar("pages", "page_id url", video=(lambda: u.clean_video(c()), f"CASE WHEN regexp_matches(url, '{u.VIDEO_URL.replace(chr(39), chr(39) * 2)}') THEN url END")),
+    "url_clean_video": made("pages", "page_id", URLS, video=(lambda: u.clean_video(c()), f"CASE WHEN (starts_with(url, 'http://') OR starts_with(url, 'https://')) AND length(url) > strpos(url, '://') + 2 AND translate(url, ' <>\"()[]`' || chr(39) || chr(92) || chr(9) || chr(10) || chr(13), '') = url THEN url END")),
     "url_player": scalar("pages", "page_id url", player=(lambda: u.player_url(F.concat(F.lit("https://play.example.com/v/"), c("page_id").cast("string"), F.lit("/id/7"), F.when(c("page_id") % 3 == 0, "?t=1").otherwise("")), ["play.example.com"]), "CASE WHEN page_id % 3 <> 0 THEN 'https://play.example.com/v/' || page_id || '/id/7' END")),
     "url_same_key": scalar("pages", "page_id url", same_key=(lambda: u.same_key(c()), SAME)),
     "url_normalized": scalar("pages", "page_id url", normal=(lambda: u.normalized(c(), ("utm_source",)), NORMAL)),
@@ -73,19 +109,19 @@ PAIRS = {
     "leaf_dir_name": scalar("pages", "page_id url", dir=(lambda: u.leaf_dir("site", c()), f"'_raw/site/' || {SLUG(f'CASE WHEN {SEGMENTS} = {chr(39) * 2} THEN lower({NETLOC}) ELSE {SEGMENTS} END')} || '--' || {HASH8}")),
     "page_path_guard": scalar("pages", "page_id", ok=(lambda: u.page_path_ok(F.concat(F.when(c("page_id") % 4 == 0, "../").when(c("page_id") % 4 == 1, ".x/").when(c("page_id") % 4 == 2, "/").otherwise("a/"), c("page_id").cast("string"), F.lit(".md"))), "page_id % 4 = 3")),
     "title_fold": scalar("documents", "doc_id", folded=(lambda: t.fold(c("text")), FOLD("text"))),
-    "title_strip_suffix": scalar("documents", "doc_id", stripped=(lambda: t.strip_suffix(c("text"), "."), "CASE WHEN trim(string_split(left(text, 60), '.')[1]) = '' THEN left(text, 60) ELSE trim(string_split(left(text, 60), '.')[1]) END")),
+    "title_strip_suffix": scalar("documents", "doc_id", stripped=(lambda: t.strip_suffix(c("text"), "."), "CASE WHEN trim(string_split(text, '.')[1]) = '' THEN text ELSE trim(string_split(text, '.')[1]) END")),
     "name_stem": scalar("pages", "page_id", stem=(lambda: t.name_stem(F.concat(u.path(c()), F.lit(".html"))), _sub(f"({PATH} || '.html')", "[.][A-Za-z0-9]{1,5}$"))),
     "title_qualifier": scalar("documents", "doc_id", qualifier=(lambda: t.qualifier(c("text")), _sub(f"left({FOLD(_sub('text', '[\\x00-\\x1f\\\\/:*?\"<>|]', '-'))}, 60)", "^[ .-]+|[ .-]+$"))),
     "host_line": scalar("documents", "doc_id", line=(lambda: t.host_line(c("text")), HOST_LINE)),
     "bullet_line": scalar("documents", "doc_id", line=(lambda: t.bullet_line(c("text")), f"CASE WHEN length({BULLET}) <= 200 THEN {BULLET} ELSE left({BULLET}, 199) || '…' END")),
     "table_cell": scalar("documents", "doc_id", cell=(lambda: t.table_cell(c("text")), f"replace(replace({FOLD('text')}, chr(92), chr(92) || chr(92)), '|', chr(92) || '|')")),
     "plain_quotes": scalar("documents", "doc_id", plain=(lambda: t.plain_quotes(c("text")), f"replace({FOLD('text')}, '`', '''')")),
-    "video_plain": scalar("pages", "page_id", plain=(lambda: t.video_plain(c("html")), _sql_swaps("html", (("<", "&lt;"), ("[[", "\\[\\["), ("%%", "%\\%"), ("$$", "$\\$"))))),
-    "unblocked_line": scalar("documents", "doc_id", line=(lambda: t.unblocked(c("text")), "CASE WHEN regexp_matches(left(text, 80), '^\\s*([#>+*-]|[0-9]+[.)]|```|~~~|\\|)') THEN chr(92) || left(text, 80) ELSE left(text, 80) END")),
+    "video_plain": made("pages", "page_id", PROSE, plain=(lambda: t.video_plain(c("prose")), f"replace(replace(replace({_sql_swaps('prose', (('<', '&lt;'), ('[[', BACK + '[' + BACK + '['), ('%%', BACK + '%' + BACK + '%'), ('$$', BACK + '$' + BACK + '$')))}, '](', ']' || chr(92) || '('), ']' || chr(92) || '(http://', '](http://'), ']' || chr(92) || '(https://', '](https://')")),
+    "unblocked_line": scalar("documents", "doc_id", line=(lambda: t.unblocked(c("text")), "CASE WHEN regexp_matches(text, '^\\s*([#>+*-]|[0-9]+[.)]|```|~~~|\\|)') THEN chr(92) || text ELSE text END")),
     "safe_id": scalar("pages", "page_id", ident=(lambda: t.safe_id(c()), f"nullif(left({_sub(_sub('url', '[^A-Za-z0-9_-]+', '_'), '^_+|_+$')}, 120), '')")),
     "pointers": scalar("pages", "page_id", mail=(lambda: t.mail_pointer(c("page_id").cast("string")), "'gmail:' || page_id"), task=(lambda: t.task_pointer(F.when(c("page_id") % 2 == 0, F.md5(F.encode(c(), "UTF-8"))).otherwise(c("page_id").cast("string"))), "CASE WHEN page_id % 2 = 0 THEN 'https://www.notion.so/' || md5(url) ELSE 'notion:' || page_id END")),
     "id_in_name": scalar("pages", "page_id", ident=(lambda: t.id_in_name(F.concat(F.lit("0001--a--"), c("page_id").cast("string"), F.lit(".json"))), "'a--' || page_id")),
-    "tag_normalise": scalar("documents", "doc_id", tags=(lambda: F.array_join(t.tags(F.split(c("text"), " ", -1)), " "), f"array_to_string(list_filter(list_transform(string_split(left(text, 200), ' '), lambda x: {_sub(_sub(_sub('lower(x)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')}), lambda x, i: x <> '' AND NOT list_contains(list_transform(string_split(left(text, 200), ' '), lambda y: {_sub(_sub(_sub('lower(y)', '[^a-z0-9/]+', '-'), '-*/-*', '/'), '^[-/]+|[-/]+$')})[:i - 1], x)), ' ')")),
+    "tag_normalise": scalar("documents", "doc_id", tags=(lambda: F.array_join(t.tags(F.split(c("text"), " ", -1)), " "), "")),
     "date_valid": scalar("events", "event_id", valid=(lambda: d.valid_date(F.concat(F.date_format("ts", "yyyy-MM"), F.lit("-"), F.lpad((c("event_id") % 40).cast("string"), 2, "0"))), "CASE WHEN try_cast(strftime(ts, '%Y-%m') || '-' || lpad(CAST(event_id % 40 AS VARCHAR), 2, '0') AS DATE) IS NOT NULL THEN strftime(ts, '%Y-%m') || '-' || lpad(CAST(event_id % 40 AS VARCHAR), 2, '0') END"), shaped=(lambda: d.day_shape(F.concat(F.date_format("ts", "yyyy-MM"), F.lit("-99"))), "strftime(ts, '%Y-%m') || '-99'")),
     "date_compact": scalar("events", "event_id", day=(lambda: d.compact_day(F.date_format("ts", "yyyyMMdd")), "strftime(ts, '%Y-%m-%d')"), cut=(lambda: d.day_part(F.date_format("ts", "yyyy-MM-dd'T'HH")), "strftime(ts, '%Y-%m-%d')")),
     "time_epoch": scalar("events", "event_id", ms=(lambda: d.epoch_ms(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")), MS), stamp=(lambda: d.stamp(F.unix_millis(F.col("ts").cast("timestamp"))), f"lpad(CAST({MS} AS VARCHAR), 13, '0')"), iso=(lambda: d.iso(F.unix_millis(F.col("ts").cast("timestamp"))), "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"), day=(lambda: d.day_of(F.unix_millis(F.col("ts").cast("timestamp"))), "strftime(ts, '%Y-%m-%d')"), midnight=(lambda: d.from_day(F.date_format("ts", "yyyy-MM-dd")), "epoch_ms(date_trunc('day', ts))")),
@@ -102,6 +138,11 @@ t AS (SELECT page_id, CASE WHEN cut = w THEN w ELSE {_sub('cut', '[ .-]+$')} ||
 SELECT page_id, CASE WHEN title = '' THEN 'Untitled' WHEN lower(title) = 'index' THEN title || ' (page)' ELSE title END AS title FROM t""",
 )
 
+TAGS = _sub(_sub(_sub("lower(x)", "[^a-z0-9/]+", "-"), "-*/-*", "/"), "^[-/]+|[-/]+$")
+PAIRS["tag_normalise"] = (PAIRS["tag_normalise"][0], f"""WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS x, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents),
+f AS (SELECT doc_id, {TAGS} AS tag, min(i) AS i FROM w GROUP BY 1, 2)
+SELECT doc_id, string_agg(CASE WHEN tag <> '' THEN tag END, ' ' ORDER BY i) AS tags FROM f GROUP BY doc_id""")
+
 PAIRS["title_keys"] = (scalar("pages", "page_id", key=(lambda: t.page_key(F.regexp_extract("html", TITLE, 1)), ""), matched=(lambda: t.match_title(F.regexp_extract("html", TITLE, 1)), ""))[0], "")
 PAIRS["link_facts"] = (scalar("documents", "doc_id", title=(lambda: t.link_title(F.concat(F.lit("12:34\n"), c("text"))), ""), duration=(lambda: t.link_duration(F.concat(F.lit("12:34\n"), c("text"))), ""), card=(lambda: t.card_name(c("text")), ""))[0], "")
 PAIRS["quoted_text"] = (scalar("documents", "doc_id", quoted=(lambda: t.quoted(c("text")), ""), cut=(lambda: t.cut_bytes(c("text"), 100), ""), task_line=(lambda: t.bullet_line_task(c("text")), ""))[0], "")

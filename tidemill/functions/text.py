@@ -81,10 +81,10 @@ def bullet_line_task(text: Column) -> Column:
 
 
 def video_plain(text: Column) -> Column:
-    """Prose that cannot open markup: <, [[, %% and $$ are escaped."""
-    for mark, instead in (("<", "&lt;"), ("[[", "\\[\\["), ("%%", "%\\%"), ("$$", "$\\$")):
+    """Prose that cannot open markup: <, [[, %% and $$ are escaped, and a link whose target is not http(s) is none."""
+    for mark, instead in (("<", "&lt;"), ("[[", "\\[\\["), ("%%", "\\%\\%"), ("$$", "\\$\\$")):
         text = F.replace(text, F.lit(mark), F.lit(instead))
-    return text
+    return F.regexp_replace(text, r"\]\((?!https?://)", r"]\\(")
 
 
 def unblocked(line: Column) -> Column:

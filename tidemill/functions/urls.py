@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # What an address may look like.
 COURSE_URL = r"^https?://[A-Za-z0-9.-]+(:[0-9]{1,5})?([/?][A-Za-z0-9._~/?=%+,:@-]*)?$"
-SITEMAP_URL = r"^https?://[A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?([.][A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?)*(:[0-9]{1,5})?([/?#][A-Za-z0-9._~/?=%+,:@&;#!$-]*)?$"
+SITEMAP_URL = r"^https?://[A-Za-z0-9._~:/?#@=%+,-]+$"
+DOTTED_HOST = r"^(?=.{1,253}$)[a-z0-9]([a-z0-9-]*[a-z0-9])?([.][a-z0-9]([a-z0-9-]*[a-z0-9])?)+$"
+LINK_SAFE = r"[A-Za-z0-9:/?#@!$&'+,;=%~._-]"
 VIDEO_URL = r"""^https?://[^\s<>"'()\[\]\\`]+$"""
 PLAYER_PATH = r"^https://[A-Za-z0-9.-]+/v/[0-9]+/id/[0-9]+([?].*)?$"
 ENTITY_TYPES = ("album", "artist", "episode", "playlist", "show", "track")
@@ -78,8 +80,15 @@ def clean_course(url: Column) -> Column:
 
 
 def safe_sitemap(url: Column) -> Column:
-    """The address unchanged if all its characters and its host's labels are safe, else null."""
-    return F.when(url.rlike(SITEMAP_URL) & (F.char_length(url) <= LONGEST), url)
+    """The address unchanged if a shell, a link and an attribute read all of it as text, its host has dotted labels and its port is one; else null."""
+    port = F.regexp_extract(netloc(url), r":([0-9]+)$", 1)
+    return F.when(url.rlike(SITEMAP_URL) & host(url).rlike(DOTTED_HOST) & (F.coalesce(port.try_cast("int"), F.when(port == "", 0).otherwise(F.lit(65536))) <= 65535), url)
+
+
+def link_target(url: Column) -> Column:
+    """The address with each character that could end a link, a cell or a tag percent-encoded."""
+    coded = lambda ch: F.regexp_replace(F.hex(F.encode(ch, "UTF-8")), "(..)", r"%$1")
+    return F.array_join(F.transform(F.split(url, "", -1), lambda ch: F.when((ch == "") | ch.rlike(f"^{LINK_SAFE}$"), ch).otherwise(coded(ch))), "")
 
 
 def http_url(url: Column) -> Column:

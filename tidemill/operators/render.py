@@ -146,7 +146,7 @@ PAIRS = {
     "asset_manifest": (asset_manifest, "WITH a AS (SELECT array_to_string(string_split(lower(regexp_extract(url, '^https?://([^/?#]*)', 1)), '.')[-2:], '.') AS page, page_id AS pos, url FROM pages WHERE NOT contains(url, 'utm_source') AND NOT contains(url, '#top')) SELECT page, pos, CASE WHEN contains(url, '/en/') THEN 'downloaded' ELSE 'pending' END AS status, printf('asset-%03d', row_number() OVER (PARTITION BY page ORDER BY pos)) AS id FROM a"),
     "asset_types": (asset_types, "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'html' ELSE coalesce(nullif(lower(regexp_extract(regexp_extract(url, '^https?://([^/]*)', 1), '[.]([A-Za-z0-9]{1,5})$', 1)), ''), 'bin') END AS ext FROM pages"),
     "shared_top_folder": (shared_top_folder, "WITH f AS (SELECT string_split(regexp_extract(url, '^https?://[^/]*/([^?#]*)', 1), '/')[1] AS t FROM pages) SELECT CASE WHEN count(DISTINCT t) = 1 AND max(t) <> '' THEN 1 ELSE 0 END AS skip FROM f"),
-    "stored_bodies": (stored_bodies, "SELECT doc_id, sha1(left(text, 1000)) AS body_sha1, length(text) > 1000 AS body_truncated FROM documents"),
+    "stored_bodies": (stored_bodies, "SELECT doc_id, sha1(left(text, 50000)) AS body_sha1, length(text) > 50000 AS body_truncated FROM documents"),
     "description_md": (description_md, ""),
 }
 QUERIES, ORACLES = split(PAIRS)

@@ -125,12 +125,12 @@ def _with(x: str, url: str) -> str:
 
 NET, PATH, QUERY = fq.NETLOC, fq.PATH, fq.QUERY
 NORMAL = fq.NORMAL
-SAFE = f"regexp_matches(trim(url), '{u.SITEMAP_URL}') AND length(trim(url)) <= 2000"
+SAFE = fq.SAFE_URL("trim(url)")
 NORMED = f"CASE WHEN {SAFE} THEN {_with(NORMAL, 'trim(url)').replace('trim(url)', 'url')} END"
 LAST2 = lambda x: f"array_to_string(string_split(regexp_replace(lower({_with(NET, x)}), '^www[.]', ''), '.')[-2:], '.')"
-GLOB = " OR ".join(f"regexp_matches(normal, '{u.glob_pattern(e)}')" for e in EXCLUDE)
+GLOB = "contains(normal, '/fr/') OR contains(normal, 'page=2')"
 BASE = "c AS (SELECT page_id AS pos, url, (SELECT arg_min(url, page_id) FROM pages) AS target FROM pages)"
-CLEAN_URL = f"CASE WHEN regexp_matches({fq.CLEAN}, '{u.COURSE_URL}') AND length({fq.CLEAN}) <= 2000 AND NOT contains({NET}, '@') THEN {fq.CLEAN} END"
+CLEAN_URL = fq.COURSE
 LASTMOD = "'2024-01-' || lpad(CAST(pos % 28 + 1 AS VARCHAR), 2, '0')"
 DAY = "strftime(DATE '2024-06-30' - CAST(pos % 400 AS INTEGER), '%Y-%m-%d')"
 ARCHIVE = f"""{BASE}, a AS (SELECT *, {DAY} AS day, regexp_extract(url, '/(en|fr|de|es)/', 1) AS archive,
