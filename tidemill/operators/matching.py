@@ -17,13 +17,20 @@ def best_matches(items: DataFrame, entries: DataFrame, tolerance: int = 150, lea
     """(item, entry, score) of the best entry of each item (item, want, seconds) among entries (entry, have, seconds, pos) of the same show.
 
     score: the share of the wanted words that the entry has, 0.5 if one title contains the other, and 0.25 if the
-    lengths agree or one is unknown, else -0.5; the first of equals wins. Pairs without a common word reach 0.75 at most, below the
-    least score to accept, so only pairs that share a word are made: by joining on words, counted per pair."""
-    words = lambda c: F.array_distinct(F.split(c, " "))
-    wanted = items.select("show", "item", F.explode(words(F.col("want"))).alias("word"), F.size(words(F.col("want"))).alias("n_words")).where("word <> ''")
-    had = entries.select("show", "entry", F.explode(words(F.col("have"))).alias("word")).where("word <> ''")
-    pairs = wanted.join(had, ["show", "word"]).groupBy("item", "entry").agg(F.count("*").alias("common"), F.first("n_words").alias("n_words"))
-    full = pairs.join(items.select("item", "want", F.col("seconds").alias("want_s")), "item").join(entries.select("entry", "have", F.col("seconds").alias("have_s"), "pos"), "entry")
+    lengths agree or one is unknown, else -0.5; the first of equals wins. To reach least with all of these an entry shares
+    k = (least - 0.75) of an item's n words, and so one of any n - k + 1 of them: pairs are made on the rarest ones
+    only, whatever is frequent, and then compared whole."""
+    words = lambda c: F.array_remove(F.array_distinct(F.split(c, " ")), "")
+    had = entries.withColumn("words", words(F.col("have"))).select("show", "entry", "words", "have", F.col("seconds").alias("have_s"), "pos")
+    each = had.select("show", "entry", F.explode("words").alias("word"))
+    seen = each.groupBy("show", "word").agg(F.count("*").alias("n"))
+    wanted = items.withColumn("words", words(F.col("want"))).select("show", "item", "words", "want", F.col("seconds").alias("want_s")).withColumn("n_words", F.size("words"))
+    ranked = wanted.select("show", "item", "n_words", F.explode("words").alias("word")).join(seen, ["show", "word"], "left")
+    ranked = ranked.groupBy("show", "item", "n_words").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("rare"))
+    shared = F.greatest(F.lit(1), F.ceil(F.col("n_words") * (least - 0.75) - 1e-9)).cast("int")
+    asked = ranked.select("show", "item", F.explode(F.slice("rare", 1, F.col("n_words") - F.least(shared, F.col("n_words")) + 1)).alias("r")).select("show", "item", F.col("r.word").alias("word"))
+    pairs = asked.join(each, ["show", "word"]).select("item", "entry").distinct()
+    full = pairs.join(wanted.withColumnRenamed("words", "w"), "item").join(had.drop("show"), "entry").withColumn("common", F.size(F.array_intersect("w", "words")))
     agree = F.col("have_s").isNull() | (F.coalesce("want_s", F.lit(0)) == 0) | (F.abs(F.col("have_s") - F.col("want_s")) <= tolerance)
     contained = F.contains("have", F.col("want")) | F.contains("want", F.col("have"))
     score = F.col("common") / F.col("n_words") + F.when(contained, 0.5).otherwise(0.0) + F.when(F.coalesce(agree, F.lit(True)), 0.25).otherwise(-0.5)

@@ -24,8 +24,8 @@ def first_reason(chain: Iterable[tuple[str, Column]]) -> Column:
 
 
 def keep_first(df: DataFrame, key: Column, order: Column, name: str = "repeat") -> DataFrame:
-    """df with whether a row repeats the key of an earlier one; rows of a null key never do."""
-    at = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    """df with whether a row repeats the key of an earlier one; rows of a null key never do, and are dealt out by their order."""
+    at = F.row_number().over(Window.partitionBy(key, F.when(key.isNull(), order)).orderBy(order))
     return df.withColumn(name, key.isNotNull() & (at > 1))
 
 
@@ -167,8 +167,10 @@ def plan_sitemap(pages: DataFrame, known: DataFrame, target: Column, scope: str
     df = df.withColumn("why", why)
     if limit:
         fresh = F.col("why").isNull() & ~F.col("landed")
-        at = F.row_number().over(Window.partitionBy(fresh).orderBy(F.col("lastmod").desc_nulls_last(), "pos"))
-        df = df.withColumn("why", F.when(fresh & (at > limit), F.lit("over_limit")).otherwise(F.col("why")))
+        # a top-k: each task sends limit rows at most
+        first = df.where(fresh).orderBy(F.col("lastmod").desc_nulls_last(), "pos").limit(limit).select(F.col("pos").alias("_pos"))
+        df = df.join(F.broadcast(first), F.col("pos") == F.col("_pos"), "left")  # limit rows
+        df = df.withColumn("why", F.when(fresh & F.col("_pos").isNull(), F.lit("over_limit")).otherwise(F.col("why"))).drop("_pos")
     return df
 
 
@@ -203,10 +205,20 @@ def walk_archive(posts: DataFrame, known: DataFrame, target: Column, scope: str
     return df.withColumn("why", F.when(F.col("fresh") & F.col("stops"), F.lit("truncated")).otherwise(F.col("why"))).drop("after", "fresh", "planned")
 
 
-def numbered(df: DataFrame, by: Column | None = None) -> DataFrame:
-    """df with order_no, the number of each kept row by pos within by: kept rows alone are ordered."""
-    keys = [F.col("why").isNull()] + ([by] if by is not None else [])
-    return df.withColumn("order_no", F.when(F.col("why").isNull(), F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))))
+def numbered(df: DataFrame, by: Column | None = None, ranges: int = 64) -> DataFrame:
+    """df with order_no, the number of each kept row by pos (a number) within by.
+
+    Without by, rows are numbered within ranges of pos, and the counts of the ranges, one row each, give where each begins."""
+    kept = F.col("why").isNull()
+    if by is not None:
+        return df.withColumn("order_no", F.when(kept, F.row_number().over(Window.partitionBy(kept, by).orderBy("pos"))))
+    cuts = df.where(kept).agg(F.percentile_approx("pos", [k / ranges for k in range(1, ranges)]).alias("_cuts"))
+    dealt = df.crossJoin(F.broadcast(cuts)).withColumn("_range", F.when(kept, F.size(F.filter("_cuts", lambda c: c < F.col("pos")))).otherwise(-1)).drop("_cuts")
+    counts = dealt.where("_range >= 0").groupBy("_range").agg(F.count("*").alias("_n"))
+    begins = counts.select(F.col("_range").alias("_r"), (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_from"))  # a row a range
+    own = Window.partitionBy("_range", F.when(~kept, F.col("pos"))).orderBy("pos")
+    out = dealt.withColumn("_at", F.row_number().over(own)).join(F.broadcast(begins), F.col("_range") == F.col("_r"), "left")
+    return out.withColumn("order_no", F.when(kept, (F.col("_from") + F.col("_at")).cast("int"))).drop("_range", "_r", "_from", "_at")
 
 
 def single(target: Column, why: Column | None = None) -> Column:

@@ -77,12 +77,11 @@ def json_object(content: Column, schema: str) -> Column:
 
 def archive_posts(pages: DataFrame, page_col: str = "page") -> DataFrame:
     """Posts of archive pages in their order (page, place), walked until the first page without posts."""
-    from pyspark.sql import Window
-
     rows = pages.select(page_col, F.from_json("content", f"array<struct<{_fields(POST)}>>").alias("posts"))
     empty = F.coalesce(F.size("posts") <= 0, F.lit(True))
-    ended = F.max(empty).over(Window.orderBy(page_col).rowsBetween(Window.unboundedPreceding, 0))  # a row a page of one archive
-    return rows.withColumn("ended", ended).where("not ended").select(page_col, F.posexplode("posts").alias("place", "p")).select(page_col, "place", "p.*")
+    ended = rows.agg(F.min(F.when(empty, F.col(page_col))).alias("_end"))  # one row
+    walked = rows.crossJoin(F.broadcast(ended)).where(F.col("_end").isNull() | (F.col(page_col) < F.col("_end")))
+    return walked.select(page_col, F.posexplode("posts").alias("place", "p")).select(page_col, "place", "p.*")
 
 
 def course_links(files: DataFrame) -> DataFrame:

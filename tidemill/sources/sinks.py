@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def replace(df: DataFrame, path: str) -> None:
-    """The table as a whole; readers see the old one or the new one."""
-    df.write.mode("overwrite").parquet(path)
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of a table, oldest first: a version is complete once its writer has committed it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(where)]
+    return sorted(int(n[2:]) for n in names if re.fullmatch(r"v=\d+", n) and exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def replace(df: DataFrame, path: str, keep: int = 2) -> None:
+    """The table as a whole, as a new version beside the old one: readers see one or the other, and a writer that dies loses neither.
+    All but the last keep versions go."""
+    spark = df.sparkSession
+    known = _versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/v={(known[-1] if known else 0) + 1}")
+    for old in known[: max(0, len(known) + 1 - keep)]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={old}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def current(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The last complete version of a table that replace() writes; None if there is none."""
+    known = _versions(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/v={known[-1]}") if known else None
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -38,8 +62,10 @@ def upsert_days(df: DataFrame, path: str, key: str = "sid", order: str = "filed_
 
 
 def upsert_pages(old: DataFrame, new: DataFrame, key: str = "title") -> DataFrame:
-    """Pages by title: a new one replaces the old one whole."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+    """Pages by title: a new one replaces the old one whole; of new ones of a title one stays, the greatest of their rows."""
+    rest = [c for c in new.columns if c != key]
+    last = new.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, *(F.col("_row")[c].alias(c) for c in rest)) if rest else new.distinct()
+    return old.join(last.select(key), key, "left_anti").unionByName(last)
 
 
 def split_refused(captures: DataFrame, refused) -> tuple[DataFrame, DataFrame]:
@@ -53,9 +79,8 @@ def write_cursor(spark: SparkSession, path: str, at: int, ident: str) -> None:
 
 
 def read_cursor(spark: SparkSession, path: str) -> tuple[int | None, str | None]:
-    if not exists(spark, path):
-        return None, None
-    row = spark.read.schema("at long, ident string").parquet(path).first()
+    held = current(spark, path, "at long, ident string")
+    row = held.first() if held is not None else None
     return (row["at"], row["ident"]) if row else (None, None)
 
 
