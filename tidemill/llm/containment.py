@@ -54,8 +54,15 @@ def _small(df: DataFrame) -> DataFrame:
 def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
     """(item_id, doc_id, n_item, n_shared) where 100 * n_shared >= percent * n_item, over distinct shingles.
 
-    An item of fewer than size words is one shingle of all its words, looked for at its own width. Items without words are
-    in no document. Of rows that repeat an id the fullest match counts; null ids are an id."""
+    An item of fewer than size words is one shingle of all its words, looked for at its own width. Items and documents
+    without words (null, empty, blank) contain nothing and are in nothing. Of rows that repeat an id the fullest match
+    counts, the one of more shingles among equals; null ids are an id. Empty tables give no rows; texts of any length are read whole; other columns are not read."""
+    best = F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("share"), "n_shared", "n_item")).alias("m")
+    return matches(docs, items, id_col, text_col, item_col, item_text, size, percent).groupBy("item_id", "doc_id").agg(best).select("item_id", "doc_id", "m.n_item", "m.n_shared")
+
+
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
+    """contained, for each text of an id: (item_id, doc_id, body, n_item, n_shared) with body the xxhash64 of the text."""
     it = items.select(F.col(item_col).alias("item_id"), F.xxhash64(item_text).alias("item_body"), _once(words(F.col(item_text))).alias("w")).where("size(w) > 0").distinct()
     it = it.withColumn("width", F.least(F.lit(size), F.size("w"))).withColumn("shingles", _texts("w", F.col("width")))
     it = shared.saved(it.withColumn("n_item", F.size("shingles")).withColumn("most_absent", F.floor(F.col("n_item") * (100 - percent) / 100).cast("int")))
@@ -66,7 +73,8 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     # size partitions: octaves of n_item, by width; one row each
     parts = it.groupBy("width", F.floor(F.log2("n_item")).alias("octave")).agg(F.min(F.col("n_item") - F.col("most_absent")).alias("fits"), F.max(F.array_max("sketch")).alias("bound")).collect()
     if not parts:
-        return docs.sparkSession.createDataFrame([], "item_id long, doc_id long, n_item long, n_shared long")
+        kinds = dict(items.dtypes)[item_col], dict(docs.dtypes)[id_col]
+        return docs.sparkSession.createDataFrame([], f"item_id {kinds[0]}, doc_id {kinds[1]}, body long, n_item long, n_shared long")
     index = _small(it.select("item_id", "item_body", F.col("width").alias("at"), F.explode("sketch").alias("hash")))
     read = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), _once(words(F.col(text_col))).alias("w"))
     hits = None
@@ -85,9 +93,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     own = texts.withColumnsRenamed({"doc_id": "d", "body": "b"})
     both = pairs.join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("body") == F.col("b"))).withColumn("n_shared", F.size(F.array_intersect("shingles", _texts("w", F.col("width")))))
     kept = both.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
-    # the fullest match of an id
-    best = F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("share"), F.col("n_shared").cast("long").alias("n_shared"), F.col("n_item").cast("long").alias("n_item"))).alias("m")
-    return kept.groupBy("item_id", "doc_id").agg(best).select("item_id", "doc_id", "m.n_item", "m.n_shared")
+    return kept.select("item_id", "doc_id", "body", F.col("n_item").cast("long").alias("n_item"), F.col("n_shared").cast("long").alias("n_shared"))
 
 
 def op5_contained_items(spark, sf_dir):

@@ -165,10 +165,12 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000) -> Model:
-    """A model fitted on at most sample of the labelled rows, picked by a hash of their id.
+    """A model fitted on at most sample of the labelled rows, picked by a hash of their id. Documents that repeat an id are rows each,
+    twice sample at most of all; without labelled rows, or with an empty table, all texts score nearly alike. Other columns are not read.
 
     The bound keeps what the driver gathers below 2 * sample * (6 * BUCKETS + 8 * STATS) bytes, as a text has BUCKETS buckets at most. Null labels and ids
     teach nothing; of an id labelled twice the larger label counts."""
+    shared.ship(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "_id")  # sample rows at most
@@ -179,7 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
-    """The columns keep of docs with score (0 to 1) and predicted, under names; a null text scores as an empty one."""
+    """The columns keep of docs with score (0 to 1) and predicted, under names, which stand beside those of keep and must differ from them.
+
+    A null text scores as an empty one, a text of any length by all its words, rows that repeat each; an empty table gives no rows."""
+    shared.ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,8 @@ known context has not seen escapes to the next shorter one (method C: the escape
 the context has followers), where the bytes that the longer context has seen are excluded; what
 no context has seen is uniform among the bytes left. Every follower of a context also follows its suffix, so
 what exclusion takes away is a number of each context, and the pretrained model is a set of sorted
-arrays that scores whole batches.
+arrays that scores whole batches. Texts are read in windows of WINDOW bytes, long ones in several, so that
+a batch takes the same memory whatever its texts are.
 
 Learning counts (order + 1)-grams of bytes over all training texts in each partition, and sums these in a shuffle. The
 order is the same whatever the corpus, so the trie grows with it and stays in partitions. Executors hold the
@@ -31,6 +32,9 @@ from . import shared
 from . import textkernel as tk
 
 END = 0xFF
+WINDOW = 400_000
+#: An empty slot: grams have seven bytes at most.
+FREE = np.uint64(2**64 - 1)
 #: The end of a text as a token, beside the hashes of words.
 END_TOKEN = -(2**63) + 1
 
@@ -155,44 +159,39 @@ def _find(where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Often:
-    """The frequent grams and log10 of their probabilities."""
+    """The frequent grams and log10 of their probabilities in an open-addressing table that is two thirds full."""
 
-    grams: np.ndarray
-    logs: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
 
-    def table(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Both in an open-addressing table, made once a process."""
-        if not hasattr(self, "_table"):
-            g = self.grams
-            bits = max(4, int(len(g)).bit_length() + 1)
-            keys, values = np.full(1 << bits, np.uint64(2**64 - 1)), np.zeros(1 << bits)
-            todo = np.arange(len(g))
-            slot = _slots(g, bits)
-            while len(todo):
-                free = keys[slot] == np.uint64(2**64 - 1)
-                _, pick = np.unique(slot[free], return_index=True)
-                won = np.flatnonzero(free)[pick]
-                keys[slot[won]], values[slot[won]] = g[todo[won]], self.logs[todo[won]]
-                rest = np.ones(len(todo), bool)
-                rest[won] = False
-                todo, slot = todo[rest], (slot[rest] + 1) & ((1 << bits) - 1)
-            self._table = keys, values, bits
-        return self._table
+    @staticmethod
+    def of(grams: np.ndarray, logs: np.ndarray) -> Often:
+        size = max(16, len(grams) * 3 // 2)
+        keys, values = np.full(size, FREE), np.zeros(size)
+        todo, slot = np.arange(len(grams)), _slots(grams, size)
+        while len(todo):
+            free = keys[slot] == FREE
+            _, pick = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[pick]
+            keys[slot[won]], values[slot[won]] = grams[todo[won]], logs[todo[won]]
+            rest = np.ones(len(todo), bool)
+            rest[won] = False
+            todo, slot = todo[rest], (slot[rest] + 1) % size
+        return Often(keys, values)
 
     def log10(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 of the probability of each gram or 0, places of the grams that are not frequent)."""
-        keys, values, bits = self.table()
-        slot = _slots(grams, bits)
-        out = values[slot]
-        wrong = np.flatnonzero(keys[slot] != grams)
+        size, slot = len(self.keys), _slots(grams, len(self.keys))
+        out = self.values[slot]
+        wrong = np.flatnonzero(self.keys[slot] != grams)
         missing = [np.zeros(0, np.int64)]
         slot = slot[wrong]
         while len(wrong):
-            empty = keys[slot] == np.uint64(2**64 - 1)
+            empty = self.keys[slot] == FREE
             missing.append(wrong[empty])
-            wrong, slot = wrong[~empty], (slot[~empty] + 1) & ((1 << bits) - 1)
-            hit = keys[slot] == grams[wrong]
-            out[wrong[hit]] = values[slot[hit]]
+            wrong, slot = wrong[~empty], (slot[~empty] + 1) % size
+            hit = self.keys[slot] == grams[wrong]
+            out[wrong[hit]] = self.values[slot[hit]]
             wrong, slot = wrong[~hit], slot[~hit]
         missing = np.concatenate(missing)
         out[missing] = 0
@@ -210,30 +209,40 @@ class Trained:
     buckets: int
 
 
-def _slots(grams: np.ndarray, bits: int) -> np.ndarray:
+def _slots(grams: np.ndarray, size: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        return (((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+
 
+def text_grams(raw: np.ndarray, off: np.ndarray, order: int, lead: bytes = b"", ended: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of order + 1 bytes that ends at each byte or end mark, document of each).
 
-def text_grams(raw: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(gram of order + 1 bytes that ends at each byte or end mark, document of each)."""
-    n = len(off) - 1
-    doc = np.repeat(np.arange(n), np.diff(off) + 1)
-    data = np.full(len(raw) + n, END, np.uint8)
-    ends = off[1:] + np.arange(n)
+    lead are lowered bytes of the first document that come before raw; without ended the last document goes on."""
+    n, marks = len(off) - 1, len(off) - 2 + ended
+    doc = np.repeat(np.arange(n), np.diff(off) + 1)[: len(raw) + marks]
+    data = np.full(len(raw) + marks, END, np.uint8)
     inside = np.ones(len(data), bool)
-    inside[ends] = False
+    inside[(off[1:] + np.arange(n))[:marks]] = False
     data[inside] = tk.LOWER[raw]
     place = np.arange(len(data)) - (off[:-1] + np.arange(n))[doc]
-    grams = data.astype(np.uint64)
+    place[doc == 0] += len(lead)
+    data = np.concatenate((np.full(order - len(lead), END, np.uint8), np.frombuffer(lead, np.uint8), data))
+    grams = data[order:].astype(np.uint64)
     for j in range(1, order + 1):
-        before = np.full(len(data), END, np.uint64)
-        before[j:] = data[:-j]
+        before = data[order - j : len(data) - j].astype(np.uint64)
         before[place < j] = END
         grams |= before << np.uint64(8 * j)
     return grams, doc
 
 
+def _windows(texts: pa.Array, order: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bytes, bool]]:
+    """(first row, end row, bytes, offsets, lead, ended) of windows of texts."""
+    lead = b""
+    for a, b, raw, off, before, ended in tk.windows(texts, WINDOW):
+        yield a, b, raw, off, lead if before else b"", ended
+        lead = ((lead if before else b"") + tk.LOWER[raw[-order:]].tobytes())[-order:] if order else b""
+
+
 def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
     keys, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
     order = np.argsort(keys, kind="stable")
@@ -242,7 +251,7 @@ def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
     return [(keys[first], np.add.reduceat(n, first) if len(first) else n)]
 
 
-def _counted(batches: Iterator[pa.RecordBatch], order: int, flush: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], order: int, flush: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """(kind, key, n): grams are of kind 0, tokens of kind 1; a partition's counts, in parts if they grow large."""
     held: list[list] = [[], []]
 
@@ -254,10 +263,10 @@ def _counted(batches: Iterator[pa.RecordBatch], order: int, flush: int = 1_500_0
         held[kind] = []
 
     for batch in batches:
-        for _, _, raw, off in tk.slices(batch.column(0)):
+        for _, _, raw, off, lead, ended in _windows(batch.column(0), order):
             starts, ends, _ = tk.word_spans(raw, off)
-            words = np.concatenate((tk.word_hashes(raw, starts, ends), np.full(len(off) - 1, END_TOKEN, np.int64).view(np.uint64)))
-            for kind, keys in enumerate((text_grams(raw, off, order)[0], words)):
+            words = np.concatenate((tk.word_hashes(raw, starts, ends), np.full(len(off) - 2 + ended, END_TOKEN, np.int64).view(np.uint64)))
+            for kind, keys in enumerate((text_grams(raw, off, order, lead, ended)[0], words)):
                 held[kind].append(np.unique(keys, return_counts=True))
                 if sum(len(k) for k, _ in held[kind]) > flush:
                     held[kind] = _tally(held[kind])
@@ -292,6 +301,9 @@ def learn(texts: DataFrame, text_col: str = "text", order: int = 6, most_grams:
     """(trie, word sums, counts of all tokens) of all rows of texts.
 
     Grams of at least one in ``often`` of all are frequent; where these are over ``most_often``, fewer are. The order is fixed unless a caller asks for a trie of ``most_grams`` at most."""
+    if not 0 < order <= 6:
+        raise ValueError(f"order is {order}; a gram holds contexts of one to six bytes")
+    shared.ship(texts.sparkSession)
     counts = texts.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(lambda it: _counted(it, order), "kind int, key long, n long")
     counts = shared.saved(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     grams = counts.where("kind = 0").select("key", "n")
@@ -311,7 +323,7 @@ def learn(texts: DataFrame, text_col: str = "text", order: int = 6, most_grams:
         often //= 2
     table = frequent().withColumn("ctx", ctx).join(weights, "ctx").select("key", F.log10(F.col("n") / F.col("weight")).alias("log")).toArrow()
     buckets = -(-max(distinct, 1) // bucket_grams)
-    trained = Trained(order, base, Often(table["key"].to_numpy().view(np.uint64), table["log"].to_numpy()), grams.select(_bucket(buckets).alias("bucket"), "key", "n"), buckets)
+    trained = Trained(order, base, Often.of(table["key"].to_numpy().view(np.uint64), table["log"].to_numpy()), grams.select(_bucket(buckets).alias("bucket"), "key", "n"), buckets)
     tokens = counts.where("kind = 1").select("key", "n")
     sums = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     words = tokens.where(F.col("n") * F.lit(float(1 << 20)) >= F.lit(float(sums["n"]))).toArrow()  # each has a 2^20th of all tokens
@@ -328,21 +340,28 @@ def _lists(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> pa.ListArray:
 
 def _scored(batches: Iterator[pa.RecordBatch], order: int, often: Often, words: Words) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, raw, off in tk.slices(batch.column("_text")):
+        held: list = []  # the windows of a document that goes on: sums, and what is asked for
+        for a, b, raw, off, lead, ended in _windows(batch.column("_text"), order):
             n_docs = b - a
-            grams, doc = text_grams(raw, off, order)
+            grams, doc = text_grams(raw, off, order, lead, ended)
             found, seldom = often.log10(grams)
             score = np.bincount(doc, found, n_docs)
             starts, ends, n_words = tk.word_spans(raw, off)
-            h = np.concatenate((tk.word_hashes(raw, starts, ends), np.full(n_docs, END_TOKEN, np.int64).view(np.uint64)))
-            own = np.concatenate((np.repeat(np.arange(n_docs), n_words), np.arange(n_docs)))
+            h, own = tk.word_hashes(raw, starts, ends), np.repeat(np.arange(n_docs), n_words)
+            if ended:
+                h, own = np.concatenate((h, np.full(n_docs, END_TOKEN, np.int64).view(np.uint64))), np.concatenate((own, np.arange(n_docs)))
             at, known = _find(words.keys, h)
             logs = np.bincount(own[known], words.logs[at[known]], n_docs) if len(words.keys) else np.zeros(n_docs)
+            sums, asked = [n_words + ended, np.bincount(own[known], minlength=n_docs), logs, score], [(h[~known], own[~known]), (grams[seldom], doc[seldom])]
+            if not ended:
+                held.append((sums, asked))
+                continue
+            for more, parts in held:
+                sums = [x + y for x, y in zip(sums, more, strict=True)]
+                asked = [tuple(map(np.concatenate, zip(x, y, strict=True))) for x, y in zip(parts, asked, strict=True)]
+            held = []
             part = batch.slice(a, n_docs)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(n_words + 1), pa.array(np.bincount(own[known], minlength=n_docs)), pa.array(logs), pa.array(score), _lists(h[~known], own[~known], n_docs), _lists(grams[seldom], doc[seldom], n_docs)],
-                names=["id", "held_out", "n_tokens", "n_often", "logs", "score", "rare", "grams"],
-            )
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *map(pa.array, sums), *(_lists(k, o, n_docs) for k, o in asked)], names=["id", "held_out", "n_tokens", "n_often", "logs", "score", "rare", "grams"])
 
 
 def _looked_up(batches: Iterator[pa.RecordBatch], order: int, base: Model) -> Iterator[pa.RecordBatch]:
@@ -368,7 +387,12 @@ def _looked_up(batches: Iterator[pa.RecordBatch], order: int, base: Model) -> It
 
 
 def score(docs: DataFrame, model: Trained, words: Words, tokens: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; a null text scores as an empty one."""
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
+
+    A null or empty text is its end mark alone. Rows that repeat an id or a text are scored each; a null id is kept. A model of no
+    texts knows no byte, and gives each 1 in 256. Other columns of docs, of whatever names, are not read. A text of any length is read in
+    windows; only its rare words and seldom grams, 8 bytes each, are held together."""
+    shared.ship(docs.sparkSession)
     context, order = docs.sparkSession.sparkContext, model.order
     held, base = context.broadcast((model.often, words)), context.broadcast(model.base)
     source = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))

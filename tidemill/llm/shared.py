@@ -14,10 +14,12 @@ from tidemill.registry import ship
 def folder(spark: SparkSession) -> str:
     """The shared folder that spark.checkpoint.dir names.
 
-    Where the session names none, as in tests on one machine, a temporary folder serves."""
+    Only where the session names none and all of Spark is on this machine, as in tests, a temporary folder serves."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir")
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemill-"))
     return named or context.getCheckpointDir()
 
@@ -32,23 +34,25 @@ def saved(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60, rows_a_task: int = 200_000) -> DataFrame:
     """(id, root): the smallest vertex that each vertex of edges (a, b) reaches.
 
-    Each round hooks a vertex's root to the least root next to it and then halves the
-    paths, so rounds grow with the logarithm of a component's diameter; rows stay in proportion to
-    the edges. Edges with a null end and loops link nothing."""
-    both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b"), F.col("a"))).distinct()
-    both = saved(both)
+    Each round a vertex takes the least root next to it; then every root takes the least root that one of its
+    members has met, or its own, so that paths halve, and vertices follow their roots. Rounds grow with
+    the logarithm of a component's diameter; rows stay in proportion to the edges. Edges with a null
+    end and loops link nothing.
+
+    A vertex of very many edges and a root of very many vertices are each one key of a join: both sides of these joins
+    are stored tables, dealt out for the join alone, which Spark splits where a key is hot. What is grouped is combined before it is dealt out."""
+    both = saved(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b"), F.col("a"))).distinct())
     # few rows make few tasks, whatever the number of shuffle partitions
     tasks = max(1, -(-both.count() // rows_a_task))
     both = both.coalesce(tasks)
     label = saved(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("root")).coalesce(tasks))
     for _ in range(most_rounds):
         near = both.join(label.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-        new = label.join(near, "id").select("id", F.least("root", "near").alias("root"), F.col("root").alias("old"))
-        jump = new.select(F.col("id").alias("root"), F.col("root").alias("far"))
-        # hooking: a root takes the least label that any of its members has seen
-        hooked = new.groupBy(F.col("old").alias("root")).agg(F.min("root").alias("hook"))
-        new = new.join(jump, "root", "left").join(hooked.select(F.col("root").alias("old"), "hook"), "old", "left")
-        new = saved(new.select("id", F.least("root", "far", "hook").alias("root"), (F.col("old") != F.least("root", "far", "hook")).alias("moved")).coalesce(tasks))
+        met = saved(label.join(near, "id").select("id", F.col("root").alias("old"), F.least("root", "near").alias("root")).coalesce(tasks))
+        ups = met.where("root < old").select(F.col("old").alias("r"), F.col("root").alias("up")).union(met.where("root < id").select("id", "root"))
+        ups = saved(ups.groupBy("r").agg(F.min("up").alias("up")).coalesce(tasks))
+        new = met.join(ups, F.col("root") == F.col("r"), "left").select("id", F.coalesce("up", "root").alias("root"), (F.col("old") != F.coalesce("up", "root")).alias("moved"))
+        new = saved(new.coalesce(tasks))
         label = new.select("id", "root")
         if not new.where("moved").limit(1).count():
             return label

@@ -68,6 +68,31 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         a = b
 
 
+def windows(texts: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int, bool]]:
+    """(first row, end row, bytes, offsets, bytes of the row before these, whether the last row ends here): slices that cut long documents too.
+
+    A document of over limit bytes comes in windows of its own, each cut behind white space where a window
+    of that size holds any, so that no word is parted; a word of over limit bytes makes a window longer."""
+    for a, b, raw, off in slices(texts, limit):
+        if len(raw) <= limit:
+            yield a, b, raw, off, 0, True
+            continue
+        at = 0
+        while True:
+            end = at + limit
+            while end < len(raw):
+                gaps = np.flatnonzero(_SEPARATOR[raw[max(at, end - limit) : end]])
+                if len(gaps):
+                    end = max(at, end - limit) + int(gaps[-1]) + 1
+                    break
+                end += limit
+            end = min(end, len(raw))
+            yield a, b, raw[at:end], np.asarray([0, end - at]), at, end == len(raw)
+            if end == len(raw):
+                break
+            at = end
+
+
 def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, words of each document) for runs of bytes other than 0x20 and 0x09-0x0D."""
     inside = ~_SEPARATOR[raw]
