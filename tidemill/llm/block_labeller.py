@@ -5,6 +5,10 @@ Each block is a vector of its hashed tag path (tags, roles, and the parts of cla
 ancestors), its hashed words and a few figures. A bidirectional LSTM in numpy reads the whole sequence, and
 so labels every block with the page around it in view; blocks labelled as main text are the result.
 
+Reading a page takes one pass, whatever its markup: a block holds the set of its path's buckets as the bits of a
+number, which its element hands down, and a tag whose end is not found is text. Scoring works through
+the blocks in runs of bounded size, so that a page of any length needs a few numbers a block.
+
 The network is trained here, on pages that ``sample_page`` invents with known labels; the same seed gives
 the same weights.
 """
@@ -15,7 +19,9 @@ import html as html_lib
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -29,16 +35,19 @@ from . import textkernel as tk
 
 PATH, WORDS, FIGURES = 192, 32, 8
 EMBED, HIDDEN = 24, 16
+#: Blocks that are turned into vectors at a time.
+RUN = 8_000
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+OPENS = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+ENDS = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-SPACE = re.compile(r"[ \t\n\x0b\x0c\r\xa0]+")
+SPACE = re.compile(r"\s+")
 #: Elements whose contents are not shown as text.
-UNSHOWN = frozenset("script style noscript template title svg math iframe object canvas audio video select textarea".split())
+UNSHOWN = frozenset("script style noscript template title iframe select textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that stay within a block; every other one begins and ends blocks.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input math mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup munder mover munderover mstyle mspace mfenced semantics annotation svg g path text tspan use object canvas audio video".split())
 #: What an opening tag closes, if it is open above the nearest container.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 CONTAINERS = frozenset("ul ol dl table div section article main aside header footer nav form blockquote body td th".split())
@@ -47,8 +56,13 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form
 
 
 @lru_cache(maxsize=50_000)
-def _names(tag: str, attributes: str) -> tuple[str, ...]:
-    """What an element adds to the path: its tag, role and parts of its class and id."""
+def _bit(name: str) -> int:
+    return 1 << zlib.crc32(name.encode()) % PATH
+
+
+@lru_cache(maxsize=50_000)
+def _names(tag: str, attributes: str) -> tuple[int, int]:
+    """What an element adds to the path, its tag, role and parts of its class and id: their buckets as bits, and their number."""
     out = [tag]
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "")
@@ -60,15 +74,76 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
                 out.append("@hidden")
         else:
             out += [f".{p.lower()}" for p in PART.findall(value)]
-    return tuple(out)
+    bits = 0
+    for n in out:
+        bits |= _bit(n)
+    return bits, len(out)
+
+
+class Tags:
+    """Where the tags of a page end. A > between quotes ends none, a quote that nothing closes is a sign like any other, and
+    a place from which no end was found is not searched from again, so that all tags together take one pass."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.lost = page, {q: page.rfind(q) for q in "\"'>"}, set()
+
+    def end(self, at: int) -> int:
+        """Behind the > that ends the tag whose name ends at a place, or -1."""
+        page, seen = self.page, []
+        while at <= self.last[">"] and at not in self.lost:
+            seen.append(at)
+            m = ENDS.search(page, at)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.end()
+            at = page.find(m[0], m.end()) + 1 if m.start() < self.last[m[0]] else m.end()
+        self.lost.update(seen)
+        return -1
+
+
+@dataclass(slots=True)
+class Element:
+    """An open element: its tag, the buckets of all names of its path and their number, its depth."""
+
+    tag: str
+    bits: int
+    names: int
+    parent: Element | None
+
+
+@dataclass(slots=True)
+class Block:
+    """A leaf block: the buckets of its path as bits, the number of names there, its text, and the share of it in links."""
+
+    places: int
+    names: int
+    text: str
+    linked: float
+
+
+def _places(at: Element | None) -> tuple[int, int]:
+    """Buckets of a path's names, of its last five tags and of the tag that holds the block; and the number of names."""
+    if at is None:
+        return _bit("bare"), 0
+    bits, up = at.bits | _bit(f"leaf {at.tag}"), at
+    for _ in range(5):
+        bits |= _bit(f"near {up.tag}")
+        up = up.parent
+        if up is None:
+            break
+    return bits, at.names
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
-    """(path, text, share of the text in links) of each leaf block with text; white space is one space."""
-    out: list[tuple[tuple[str, ...], str, float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def blocks(page: str) -> list[Block]:
+    """Each leaf block with text; white space is one space."""
+    out: list[Block] = []
+    stack: list[Element] = []
+    open_: Counter[str] = Counter()
     parts: list[str] = []
-    path: list[tuple[str, ...]] = []
+    holder: Element | None = None
+    tags = Tags(page)
+    closers: dict[str, re.Pattern] = {}
     linked = at = in_link = 0
 
     def flush() -> None:
@@ -77,53 +152,65 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             raw = "".join(parts)
             text = SPACE.sub(" ", html_lib.unescape(raw) if "&" in raw else raw).strip(" ")
             if text:
-                out.append((tuple(n for names in path for n in names), text, min(1.0, linked / max(1, len(raw)))))
+                out.append(Block(*_places(holder), text, min(1.0, linked / max(1, len(raw)))))
             parts.clear()
             linked = 0
 
     def add(text: str) -> None:
-        nonlocal linked, path
+        nonlocal linked, holder
         if not text:
             return
         if not parts:
             if not text.strip():
                 return
-            path = [names for _, names in stack]
+            holder = stack[-1] if stack else None
         parts.append(text)
         if in_link:
             linked += len(text)
 
     def pop(k: int) -> None:
         nonlocal in_link
-        for name, _ in stack[k:]:
-            if name == "a":
+        for e in stack[k:]:
+            open_[e.tag] -= 1
+            if e.tag == "a":
                 in_link -= 1
-            elif name not in INLINE:
+            elif e.tag not in INLINE:
                 flush()
         del stack[k:]
 
     end = len(page)
     while at < end:
-        m = TAG.search(page, at)
+        m = OPENS.search(page, at)
         if m is None:
             add(page[at:])
             break
+        if m[1]:
+            close = page.find("-->", m.end())
+            add(page[at : m.start()])
+            at = close + 3 if close >= 0 else end
+            continue
+        behind = tags.end(m.end()) if m[4] else page.find(">", m.end()) + 1 if m.end() <= tags.last[">"] else -1
+        if behind < 0:
+            add(page[at : m.end()])
+            at = m.end()
+            continue
         add(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
+        at = behind
+        name = (m[4] or "").lower()
         if not name:
             continue
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop(k)
-                    break
-            else:
-                if name not in INLINE:
-                    flush()
+        if m[3]:
+            if open_[name] > 0:
+                k = len(stack) - 1
+                while stack[k].tag != name:
+                    k -= 1
+                pop(k)
+            elif name not in INLINE:
+                flush()
             continue
         if name in UNSHOWN:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            closer = closers.setdefault(name, re.compile(rf"</{re.escape(name)}\s*>", re.I))
+            close = closer.search(page, at)
             at = close.end() if close else end
             continue
         if name == "br":
@@ -133,54 +220,56 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             flush()
         if name in ENDS_P or name in CLOSES:
             shut = CLOSES.get(name, {"p"})
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in shut:
-                    pop(k)
-                elif stack[k][0] in CONTAINERS:
-                    break
-        if name not in VOID and not m[3].endswith("/"):
-            stack.append((name, _names(name, m[3])))
+            if any(open_[x] > 0 for x in shut):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag in shut:
+                        pop(k)
+                    elif stack[k].tag in CONTAINERS:
+                        break
+        if name not in VOID and page[behind - 2] != "/":
+            bits, names = _names(name, page[m.end() : behind - 1])
+            above = stack[-1] if stack else None
+            stack.append(Element(name, bits | (above.bits if above else 0), names + (above.names if above else 0), above))
+            open_[name] += 1
             in_link += name == "a"
     flush()
     return out
 
 
 @lru_cache(maxsize=50_000)
-def _path_places(path: tuple[str, ...]) -> tuple[int, ...]:
-    """Buckets of a path's names, of its last five tags and of the tag that holds the block."""
-    tags = [n for n in path if n[0] not in ".@"]
-    named = [f"leaf {tags[-1]}" if tags else "bare", *(f"near {t}" for t in tags[-5:]), *path]
-    return tuple(sorted({zlib.crc32(n.encode()) % PATH for n in named}))
-
-
-def vectors(page_blocks: list[list[tuple[tuple[str, ...], str, float]]]) -> list[np.ndarray]:
-    """A matrix for each page, a row for each block."""
-    flat = [b for p in page_blocks for b in p]
-    out = np.zeros((len(flat), PATH + WORDS + FIGURES), np.float32)
-    texts, at = pa.array([b[1] for b in flat], pa.large_string()), 0
-    for a, b, raw, off in tk.slices(texts):
-        starts, ends, n = tk.word_spans(raw, off)
-        doc = np.repeat(np.arange(a, b), n)
+def _set_bits(places: int) -> tuple[int, ...]:
+    return tuple(k for k in range(PATH) if places >> k & 1)
+
+
+def vectors(run: list[Block], first: int, of: int) -> np.ndarray:
+    """A row for each block of a run that begins at place first of a page of so many blocks."""
+    n = len(run)
+    out = np.zeros((n, PATH + WORDS + FIGURES), np.float32)
+    words, size, signs, last = (np.zeros(n, np.int64) for _ in range(4))
+    texts = pa.array([b.text for b in run], pa.large_string())
+    for a, b, raw, off, _, _ in tk.windows(texts, 500_000):
+        starts, ends, k = tk.word_spans(raw, off)
+        doc = np.repeat(np.arange(b - a), k)
         place = (tk.word_hashes(raw, starts, ends) >> np.uint64(50)).astype(np.int64) % WORDS
-        out[a:b, PATH : PATH + WORDS] = np.bincount((doc - a) * WORDS + place, minlength=(b - a) * WORDS).reshape(-1, WORDS) / np.maximum(n, 1)[:, None]
-        size = np.diff(off)
-        out[a:b, PATH + WORDS] = np.log1p(n) / 4
-        out[a:b, PATH + WORDS + 1] = np.log1p(size) / 6
-        run = np.concatenate(([0], np.cumsum(np.isin(raw, np.frombuffer(b".,;:!?", np.uint8)))))
-        out[a:b, PATH + WORDS + 2] = (run[off[1:]] - run[off[:-1]]) / np.maximum(n, 1)
-        out[a:b, PATH + WORDS + 3] = np.isin(raw[off[1:] - 1], np.frombuffer(b".!?", np.uint8)) if len(raw) else 0
-    for i, (path, _, link) in enumerate(flat):
-        out[i, list(_path_places(path))] = 1
-        out[i, PATH + WORDS + 4] = link
-        out[i, PATH + WORDS + 5] = len(path) / 20
-    pages = []
-    for p in page_blocks:
-        x = out[at : at + len(p)]
-        x[:, PATH + WORDS + 6] = np.linspace(0, 1, len(p)) if len(p) else 0
-        x[:, PATH + WORDS + 7] = 1
-        pages.append(x)
-        at += len(p)
-    return pages
+        out[a:b, PATH : PATH + WORDS] += np.bincount(doc * WORDS + place, minlength=(b - a) * WORDS).reshape(-1, WORDS)
+        words[a:b] += k
+        size[a:b] += np.diff(off)
+        marks = np.concatenate(([0], np.cumsum(np.isin(raw, np.frombuffer(b".,;:!?", np.uint8)))))
+        signs[a:b] += marks[off[1:]] - marks[off[:-1]]
+        last[a:b] = raw[off[1:] - 1]  # blocks have text
+    one = np.maximum(words, 1)
+    out[:, PATH : PATH + WORDS] /= one[:, None]
+    out[:, PATH + WORDS] = np.log1p(words) / 4
+    out[:, PATH + WORDS + 1] = np.log1p(size) / 6
+    out[:, PATH + WORDS + 2] = signs / one
+    out[:, PATH + WORDS + 3] = np.isin(last, np.frombuffer(b".!?", np.uint8))
+    for i, b in enumerate(run):
+        out[i, list(_set_bits(b.places))] = 1
+        out[i, PATH + WORDS + 4] = b.linked
+        out[i, PATH + WORDS + 5] = b.names / 20
+    out[:, PATH + WORDS + 6] = (first + np.arange(n)) / max(1, of - 1)
+    out[:, PATH + WORDS + 7] = 1
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -218,22 +307,57 @@ class Network:
             out[t] = h
         return out
 
-    def scores(self, x: list[np.ndarray]) -> list[np.ndarray]:
+    def embedded(self, pages: list[list[Block]]) -> list[np.ndarray]:
+        """The embedding of each block of each page."""
+        flat = [(b, k, len(p)) for p in pages for k, b in enumerate(p)]
+        out = np.zeros((len(flat), EMBED), np.float32)
+        for a in range(0, len(flat), RUN):
+            part = flat[a : a + RUN]
+            x = vectors([b for b, _, _ in part], 0, 1)
+            x[:, PATH + WORDS + 6] = [k / max(1, n - 1) for _, k, n in part]
+            out[a : a + RUN] = np.tanh(x @ self.p["E"])
+        return np.split(out, np.cumsum([len(p) for p in pages])[:-1]) if pages else []
+
+    def scores(self, pages: list[list[Block]]) -> list[np.ndarray]:
         """The probability of main text for each block of each page."""
-        order = sorted(range(len(x)), key=lambda i: len(x[i]))
-        out: list[np.ndarray] = [np.zeros(0)] * len(x)
+        e = self.embedded(pages)
+        order = sorted(range(len(e)), key=lambda i: len(e[i]))
+        out: list[np.ndarray] = [np.zeros(0)] * len(e)
         a = 0
         while a < len(order):
             b = min(len(order), a + 256)
-            while b - a > 1 and len(x[order[b - 1]]) * (b - a) > 40_000:  # bounds the padded batch
+            while b - a > 1 and len(e[order[b - 1]]) * (b - a) > RUN * 5:  # bounds the padded batch
                 b = a + max(1, (b - a) // 2)
             pick = order[a:b]
             a = b
-            if not len(x[pick[-1]]):
-                continue
-            p = self._forward(*_padded([x[i] for i in pick]))[0]
-            for k, i in enumerate(pick):
-                out[i] = p[: len(x[i]), k]
+            steps = len(e[pick[-1]])
+            if steps:
+                given, mask = np.zeros((steps, len(pick), EMBED), np.float32), np.zeros((steps, len(pick)), np.float32)
+                for k, i in enumerate(pick):
+                    given[: len(e[i]), k], mask[: len(e[i]), k] = e[i], 1
+                logit = given @ self.p["o"][2 * HIDDEN :] + self.p["b"][0] + self._read("f", given, mask) + self._read("b", given, mask)
+                p = _sigmoid(logit)
+                for k, i in enumerate(pick):
+                    out[i] = p[: len(e[i]), k]
+        return out
+
+    def _read(self, d: str, e: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """What one direction adds to the output of each step; it keeps no more than the state and a run of steps."""
+        w, c0 = self.p["W" + d], self.p["c" + d]
+        o_w = self.p["o"][:HIDDEN] if d == "f" else self.p["o"][HIDDEN : 2 * HIDDEN]
+        steps, n, _ = e.shape
+        h, c, out = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), np.zeros((steps, n))
+        bounds = list(range(0, steps, 2048))
+        for a in bounds if d == "f" else reversed(bounds):
+            given = e[a : a + 2048] @ w[:EMBED] + c0
+            for t in range(len(given)) if d == "f" else range(len(given) - 1, -1, -1):
+                x = given[t] + h @ w[EMBED:]
+                s = _sigmoid(x[:, : 3 * HIDDEN])
+                new = s[:, HIDDEN : 2 * HIDDEN] * c + s[:, :HIDDEN] * np.tanh(x[:, 3 * HIDDEN :])
+                m = mask[a + t][:, None]
+                c = m * new + (1 - m) * c
+                h = m * s[:, 2 * HIDDEN :] * np.tanh(new) + (1 - m) * h
+                out[a + t] = h @ o_w
         return out
 
     def _forward(self, x: np.ndarray, mask: np.ndarray, keep: dict | None = None):
@@ -405,7 +529,7 @@ def trained(pages: int = 1500, epochs: int = 8, seed: int = 11) -> Network:
         found = blocks(page)
         if len(found) == len(labels):
             data.append((found, np.asarray(labels, float)))
-    x = vectors([d[0] for d in data])
+    x = [vectors(d[0], 0, len(d[0])) for d in data]
     net = Network()
     moment, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     step, picks, size = 0, np.random.default_rng(seed), 32
@@ -428,8 +552,10 @@ def trained(pages: int = 1500, epochs: int = 8, seed: int = 11) -> Network:
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), network: Network | None = None) -> DataFrame:
     """The columns keep of pages with text and n_blocks, the number of leaf blocks of the page.
 
-    Character references are decoded; white space (0x20, 0x09-0x0D, U+00A0) inside a block is one space, a line
-    break tag counts as one; blocks of main text are joined by two \\n. A null page has no blocks and an empty text."""
+    Character references are decoded; white space of any kind inside a block is one space, a line break tag counts as
+    one; blocks of main text are joined by two \\n. A null or empty page has no blocks and an empty text; a page of any length is read
+    whole, rows that repeat are read each, and an empty table gives no rows. Columns of keep may not be named text or n_blocks; others are not read."""
+    shared.ship(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(network or trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,8 +567,8 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
                     size += len(column[b].as_py() or "")
                     b += 1
                 found = [blocks(p or "") for p in column[a:b].to_pylist()]
-                scores = held.value.scores(vectors(found))
-                texts = ["\n\n".join(x[1] for x, s in zip(f, own, strict=True) if s >= 0.5) for f, own in zip(found, scores, strict=True)]
+                scores = held.value.scores(found)
+                texts = ["\n\n".join(x.text for x, s in zip(f, own, strict=True) if s >= 0.5) for f, own in zip(found, scores, strict=True)]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(1, part.num_columns)), pa.array(texts, pa.string()), pa.array([len(f) for f in found], pa.int64())], names=[*part.schema.names[1:], "text", "n_blocks"])
                 a = b
