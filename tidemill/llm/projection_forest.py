@@ -207,7 +207,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = shared.components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()).withColumnsRenamed({"id": "rep", "root": "class"})
     known = groups.select("label", "h1", "h2", "first", "m", "rep").join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep")).join(links, "rep", "left")
-    least_of = known.groupBy("class").agg(F.min("first").alias("component_id"))
+    known = shared.saved(known)
+    least_of = shared.saved(known.groupBy("class").agg(F.min("first").alias("component_id")))  # both sides of the join are stored, so that Spark can split a large class
     known = known.join(least_of, "class").select(F.col("label").alias("l"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), (F.col("m") - 1 + F.coalesce("links", F.lit(0).cast("long"))).alias("n"), "component_id")
     same = (F.col("label") == F.col("l")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
     out = keyed.select("id", "label", "h1", "h2").join(known, same, "left")
