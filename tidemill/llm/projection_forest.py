@@ -28,6 +28,8 @@ from . import shared
 
 #: Sampled vectors that a node needs for a split of its own.
 LEAST = 32
+#: Leaves of over a block that a broadcast may hold; beyond it both sides are shuffled.
+MOST_FULL = 200_000
 
 
 @dataclass
@@ -199,9 +201,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     keys = ["label", "dim", "leaf"]
     # the fullest leaves are cut into blocks, and each two blocks of one meet in a cell
     counts = indexed.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    full = counts.where("blocks > 1")
+    full = shared.saved(counts.where("blocks > 1"))  # a row for each block of vectors at most
+    full = F.broadcast(full) if full.count() <= MOST_FULL else full
     placed = indexed.join(full, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("cell", F.greatest("block", "other")).withColumn("side", F.least("block", "other"))
+    # dealt out by cell, so that those of a leaf go to many tasks
+    cells = cells.repartition(*keys, "side", "cell")
     found = cells.groupBy(*keys, "side", "cell").applyInArrow(lambda pdf: _compare(pdf, held.value, margin, least), "rep long, links long, root long")
     found = shared.saved(found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
