@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions import queries as fq
+from tidemill.functions import urls as u
 from tidemill.plans.planning import first_reason
 from tidemill.registry import read, split
 
@@ -26,6 +28,60 @@ def sitemap_status(planned: Column, captured: Column, unattempted: Column, over:
     ])
 
 
+def sitemap_report(planned: Column, captured: Column, unattempted: Column, over: Column, skipped: Column, missing: Column, said: Column, gone: Column, failed: Column, how: str, scope: str, target: str) -> Column:
+    """(status, reason) of a sitemap's run. skipped: a map of reason to rows; said: the caller's reason or null.
+
+    What another run cannot mend is named and stays ok; partial is what another run gets more of."""
+    number = lambda c: c.cast("string")
+    closing = F.exists(F.map_keys(skipped), lambda k: k.isin("known", "older_than_min_date", "over_limit"))
+    none = F.size(skipped) == 0
+    listed = F.array_join(F.transform(F.array_sort(F.map_keys(skipped)), lambda k: F.concat(k, F.lit(": "), number(F.element_at(skipped, k)))), ", ")
+    left = planned + over
+    state = sitemap_status(planned, captured, unattempted, over, F.size(skipped), closing.cast("int"), failed, gone)
+    some = ~failed & ~gone
+    short = some & (captured > 0) & ~((captured == planned) & (over == 0)) & ((over > 0) | (unattempted > 0))
+    own = F.when(short, F.concat(number(captured), F.lit(" of "), number(left), F.lit(" pages captured, "), number(left - captured), F.lit(f" left for another run; {how}")))
+    own = own.when(some & (planned == 0) & ~none & closing, F.concat(F.lit("nothing new in scope — "), listed))
+    own = own.when(some & (planned == 0) & ~none, F.concat(F.lit(f"nothing enumerated is inside harvest.scope `{scope}` of the job's target {target} ("), listed, F.lit(") — a job rooted at a leaf, or on another host, captures nothing: point it at the section ROOT")))
+    otherwise = F.when(failed, "failed").when(some & (planned > 0) & (captured == 0), F.concat(F.lit("none of "), number(planned), F.lit(" pages captured"))).when(some & (planned == 0) & none, "no pages enumerated")
+    unreached = F.when(missing > 0, F.concat(number(missing), F.lit(" url(s) could not be reached")))
+    reason = F.concat_ws("; ", F.coalesce(said, otherwise), own, unreached)
+    return F.struct(state.alias("status"), F.nullif(reason, F.lit("")).alias("reason"))
+
+
+# Why an address may be missing, and the one shape of each fact of a rendered page.
+WHY = ("denied", "timeout", "auth", "error")
+FACTS = {
+    "stream_url": r"^https://stream[.]mux[.]com/[A-Za-z0-9]{20,}[.]m3u8$", "mux_playback_id": r"^[A-Za-z0-9]{20,}$", "fetched_at": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$",
+    "player_url": r"^https://play[.]hubspotvideo[.]com/v/[0-9]+/id/[0-9]+$", "embed_url": r"^https://play[.]hubspotvideo[.]com/v/[0-9]+/id/[0-9]+([?][A-Za-z0-9._~%&=+:/,-]*)?$",
+}
+
+
+def missing_host(why: Column, host: Column) -> Column:
+    """A missing row (host, url, why) of a host by itself; null where the reason or the host is none."""
+    low = F.lower(host)
+    return F.when(why.isin(*WHY) & low.rlike(u.DOTTED_HOST), F.struct(low.alias("host"), F.concat(F.lit("https://"), low, F.lit("/")).alias("url"), why.alias("why")))
+
+
+def missing_url(why: Column, host: Column, url: Column) -> Column:
+    """A missing row of an address, cleaned; null where reason, host or address is none."""
+    low, cleaned = F.lower(host), u.clean_course(url)
+    return F.when(why.isin(*WHY) & low.rlike(u.DOTTED_HOST) & cleaned.isNotNull(), F.struct(low.alias("host"), cleaned.alias("url"), why.alias("why")))
+
+
+def clean_facts(facts: Column) -> Column:
+    """A map of a rendered page's facts with only those values that have their one legal shape."""
+    legal = lambda k, v: F.when(k == "final_url", u.safe_sitemap(v).isNotNull()).when(k == "title", True)
+
+    def kept(k: Column, v: Column) -> Column:
+        out = legal(k, v)
+        for name, shape in FACTS.items():
+            out = out.when(k == name, v.rlike(shape))
+        return F.coalesce(out.otherwise(False), F.lit(False))
+
+    return F.map_filter(facts, kept)
+
+
 def share_status(planned: Column, captured: Column, pending: Column, known: Column, scope: Column, excluded: Column, reference: Column) -> Column:
     none = planned == 0
     return first_reason([
@@ -120,7 +176,52 @@ def missing_dedupe(spark, sf_dir):
     return first_missing(pages)
 
 
+def sitemap_reasons(spark, sf_dir):
+    """Events as runs: every combination of pages planned, captured, left and skipped."""
+    k = F.col("event_id")
+    pick = lambda n, by: F.floor(k / by) % n
+    planned, captured, over = pick(4, 1), F.least(pick(4, 4), pick(4, 1)), pick(2, 16)
+    skipped = F.map_filter(F.create_map(F.lit("known"), pick(3, 32), F.lit("scope"), pick(2, 96) * 7, F.lit("over_limit"), over), lambda _, v: v > 0)
+    row = read(spark, sf_dir, "events").select("event_id", planned.alias("p"), captured.alias("c"), over.alias("o"), skipped.alias("s"), pick(2, 3).alias("m"), F.when(k % 5 == 0, "said so").alias("said"), (k % 11 == 0).alias("gone"), (k % 13 == 0).alias("failed"))
+    un = F.greatest(F.lit(0), F.col("p") - F.col("c") - F.col("m"))
+    got = sitemap_report(F.col("p"), F.col("c"), un, F.col("o"), F.col("s"), F.col("m"), F.col("said"), F.col("gone"), F.col("failed"), "go on", "section", "https://e.com/a")
+    return row.select("event_id", got.alias("r")).select("event_id", "r.status", "r.reason")
+
+
+def missing_arguments(spark, sf_dir):
+    k = F.col("page_id")
+    why = F.element_at(F.array(*(F.lit(x) for x in (*WHY, "because"))), (k % 5 + 1).cast("int"))
+    host = F.when(k % 3 == 0, u.host(F.col("url"))).when(k % 3 == 1, F.concat(F.lit("CDN"), k.cast("string"), F.lit(".Example.com"))).otherwise("bad_host")
+    url = F.when(k % 2 == 0, F.col("url")).otherwise("javascript:x")
+    rows = read(spark, sf_dir, "pages").select("page_id", missing_host(why, host).alias("h"), missing_url(why, host, url).alias("a"))
+    return rows.select("page_id", F.col("h.host").alias("host"), F.col("h.url").alias("host_url"), F.col("a.url").alias("url"), F.coalesce("h.why", "a.why").alias("why"))
+
+
+def facts_cleaned(spark, sf_dir):
+    k = F.col("page_id")
+    ident = F.repeat(F.concat(F.lit("a"), (k % 10).cast("string")), (F.lit(9) + k % 3).cast("int"))
+    facts = F.create_map(
+        F.lit("title"), F.lit("any"), F.lit("mux_playback_id"), ident, F.lit("stream_url"), F.concat(F.lit("https://stream.mux.com/"), ident, F.lit(".m3u8")), F.lit("final_url"), F.when(k % 2 == 0, F.col("url")).otherwise("https://localhost/x"),
+        F.lit("fetched_at"), F.when(k % 4 > 0, "2024-01-02T03:04:05Z").otherwise("2024-01-02"), F.lit("player_url"), F.concat(F.lit("https://play.hubspotvideo.com/v/1/id/2"), F.when(k % 5 == 0, "?x=1").otherwise("")), F.lit("embed_url"), F.lit("https://play.hubspotvideo.com/v/1/id/2?x=1"), F.lit("other"), F.lit("x"),
+    )
+    return read(spark, sf_dir, "pages").select("page_id", F.array_join(F.array_sort(F.map_keys(clean_facts(facts))), " ").alias("kept"))
+
+
+SKIPS = "list_filter([CASE WHEN event_id // 32 % 3 > 0 THEN 'known: ' || event_id // 32 % 3 END, CASE WHEN o > 0 THEN 'over_limit: 1' END, CASE WHEN event_id // 96 % 2 > 0 THEN 'scope: 7' END], lambda x: x IS NOT NULL)"
 PAIRS = {
+    "sitemap_reasons": (sitemap_reasons, f"""WITH e AS (SELECT event_id, event_id % 4 AS p, least(event_id // 4 % 4, event_id % 4) AS c, event_id // 16 % 2 AS o, event_id // 3 % 2 AS m, event_id % 5 = 0 AS says, event_id % 11 = 0 AS gone, event_id % 13 = 0 AS failed FROM events),
+r AS (SELECT *, greatest(0, p - c - m) AS un, {SKIPS} AS skips, CASE WHEN says THEN 'said so' END AS said FROM e),
+k AS (SELECT *, CASE WHEN failed THEN 1 WHEN gone THEN 2 WHEN p > 0 AND c = p AND o = 0 THEN 3 WHEN c > 0 AND (o > 0 OR un > 0) THEN 4 WHEN c > 0 THEN 5 WHEN p > 0 THEN 6 WHEN len(skips) = 0 THEN 7 WHEN event_id // 32 % 3 > 0 OR o > 0 THEN 8 ELSE 9 END AS kind FROM r)
+SELECT event_id, ['failed', 'gone', 'ok', 'partial', 'ok', 'failed', 'failed', 'ok', 'failed'][kind] AS status, nullif(array_to_string(list_filter([
+  CASE WHEN said IS NOT NULL THEN said WHEN kind = 1 THEN 'failed' WHEN kind = 6 THEN 'none of ' || p || ' pages captured' WHEN kind = 7 THEN 'no pages enumerated' END,
+  CASE kind WHEN 4 THEN c || ' of ' || (p + o) || ' pages captured, ' || (p + o - c) || ' left for another run; go on' WHEN 8 THEN 'nothing new in scope — ' || array_to_string(skips, ', ')
+   WHEN 9 THEN 'nothing enumerated is inside harvest.scope `section` of the job''s target https://e.com/a (' || array_to_string(skips, ', ') || ') — a job rooted at a leaf, or on another host, captures nothing: point it at the section ROOT' END,
+  CASE WHEN m > 0 THEN m || ' url(s) could not be reached' END], lambda x: x IS NOT NULL), '; '), '') AS reason FROM k"""),
+    "missing_arguments": (missing_arguments, f"""WITH h AS (SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN {fq.HOST_OF('url')} WHEN 1 THEN 'cdn' || page_id || '.example.com' END AS host, ['denied', 'timeout', 'auth', 'error', NULL][page_id % 5 + 1] AS why, {fq.COURSE} AS cleaned FROM pages),
+v AS (SELECT *, host IS NOT NULL AND why IS NOT NULL AND contains(host, '.') AS ok FROM h)
+SELECT page_id, CASE WHEN ok THEN host END AS host, CASE WHEN ok THEN 'https://' || host || '/' END AS host_url, CASE WHEN ok AND page_id % 2 = 0 THEN cleaned END AS url, CASE WHEN ok THEN why END AS why FROM v"""),
+    "facts_cleaned": (facts_cleaned, f"""SELECT page_id, array_to_string(list_filter(['embed_url', CASE WHEN page_id % 4 > 0 THEN 'fetched_at' END, CASE WHEN page_id % 2 = 0 AND {fq.SAFE} THEN 'final_url' END, CASE WHEN page_id % 3 > 0 THEN 'mux_playback_id' END,
+  CASE WHEN page_id % 5 > 0 THEN 'player_url' END, CASE WHEN page_id % 3 > 0 THEN 'stream_url' END, 'title'], lambda x: x IS NOT NULL), ' ') AS kept FROM pages"""),
     "state_tally": (state_tally, "SELECT event_type AS state, count(*) AS n, count(*) FILTER (value > 50) AS n_over, bool_and(value > 0) AS all_positive FROM events GROUP BY 1"),
     "status_report": (status_report, """WITH c AS (SELECT source AS ticket, count(*) AS p, count(quality) AS k, count(*) FILTER (quality = 0) AS un, count(*) FILTER (toxic = 1) AS over FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1)
 SELECT ticket, CASE WHEN k > 0 AND k = p THEN 'ok' WHEN k > 0 AND un > 0 THEN 'partial' WHEN k > 0 THEN 'ok' ELSE 'failed' END AS course,

@@ -38,13 +38,18 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
 
 def sitemap_pages(files: DataFrame) -> DataFrame:
     """(file, pos, url, lastmod, child) of sitemaps, JSON lists and plain lists, told apart by their first character.
-    A sitemap index gives its children only (child true)."""
-    text = F.trim(F.regexp_replace("content", "^﻿", ""))
-    body = files.select("file", text.alias("x")).withColumn("kind", F.when(F.startswith("x", F.lit("<")), F.when(F.col("x").rlike("(?s)<sitemapindex"), "index").otherwise("xml")).when(F.startswith("x", F.lit("[")), "json").otherwise("lines"))
-    entries = F.regexp_extract_all("x", F.lit(r"(?s)<(?:url|sitemap)>(.*?)</(?:url|sitemap)>"), F.lit(1))
-    unescaped = lambda e, tag: F.nullif(F.trim(F.replace(F.regexp_extract(e, rf"(?s)<{tag}>(.*?)</{tag}>", 1), F.lit("&amp;"), F.lit("&"))), F.lit(""))
-    from_xml = F.transform(entries, lambda e: F.struct(unescaped(e, "loc").alias("url"), unescaped(e, "lastmod").alias("lastmod")))
-    raw = F.from_json("x", "array<string>")
+    A sitemap index gives its children only (child true). Tags may have a prefix, texts references and CDATA. A file that begins as
+    XML or as a list and is broken is refused: the job fails, as an empty plan would look like a venue without pages."""
+    text = F.regexp_replace("content", "^[\ufeff \\t\\r\\n]+", "")
+    body = files.select("file", text.alias("x")).withColumn("kind", F.when(F.startswith("x", F.lit("<")), F.when(F.col("x").rlike(r"(?s)<(?:[\w.-]+:)?sitemapindex\b"), "index").otherwise("xml")).when(F.startswith("x", F.lit("[")), "json").otherwise("lines"))
+    entries = F.regexp_extract_all("x", F.lit(r"(?s)<((?:[\w.-]+:)?(?:url|sitemap))(?:\s[^>]*)?>(.*?)</\1\s*>"), F.lit(2))
+    inner = lambda e, tag: F.regexp_extract(e, rf"(?s)<((?:[\w.-]+:)?{tag})(?:\s[^>]*)?>(.*?)</\1\s*>", 2)
+    # a text with references or CDATA is read as XML is
+    shown = lambda t: F.when(t.rlike("[&<]"), F.xpath_string(F.concat(F.lit("<t>"), t, F.lit("</t>")), F.lit("/t"))).otherwise(t)
+    value = lambda e, tag: F.nullif(F.trim(F.regexp_replace(shown(inner(e, tag)), r"^\s+|\s+$", "")), F.lit(""))
+    whole = F.xpath_boolean("x", F.lit("/*"))  # fails for what is no XML
+    from_xml = F.when(whole, F.transform(entries, lambda e: F.struct(value(e, "loc").alias("url"), value(e, "lastmod").alias("lastmod"))))
+    raw = F.coalesce(F.from_json("x", "array<string>"), F.raise_error(F.concat(F.lit("not a list of addresses: "), F.left("x", F.lit(80)))).cast("array<string>"))
     from_list = F.transform(raw, lambda e: F.when(F.startswith(F.ltrim(e), F.lit("{")), F.from_json(e, "url string, lastmod string")).otherwise(F.struct(e.alias("url"), F.lit(None).cast("string").alias("lastmod"))))
     from_lines = F.transform(F.filter(F.split("x", "\r?\n", -1), lambda e: F.trim(e) != ""), lambda e: F.struct(F.trim(e).alias("url"), F.lit(None).cast("string").alias("lastmod")))
     listed = F.when(F.col("kind").isin("xml", "index"), from_xml).when(F.col("kind") == "json", from_list).otherwise(from_lines)
@@ -52,6 +57,48 @@ def sitemap_pages(files: DataFrame) -> DataFrame:
     return rows.select("file", "pos", "e.url", d.day_part(F.col("e.lastmod")).alias("lastmod"), "child").where("url is not null")
 
 
+def share_leaves(files: DataFrame) -> DataFrame:
+    """(file, pos, asset_id, name, path, view_url) of share manifests. The first leaf without an http(s) address refuses the whole input."""
+    held = json_object(F.col("content"), "leaves array<struct<asset_id:string,name:string,path:array<string>,view_url:string>>")
+    leaves = held["leaves"]
+    good = lambda x: F.coalesce(x["view_url"].rlike(r"^(?i:https?):") & ~x["view_url"].rlike(r"[\s\p{Z}]"), F.lit(False))
+    first_bad = F.array_position(F.transform(leaves, lambda x: ~good(x)), True)
+    refused = lambda *said: F.raise_error(F.concat(*said)).cast("array<struct<asset_id:string,name:string,path:array<string>,view_url:string>>")
+    checked = F.when(held.isNull() | leaves.isNull(), refused(F.lit("a manifest without a list of leaves: "), F.col("file"))).when(first_bad > 0, refused(F.lit("leaves["), (first_bad - 1).cast("string"), F.lit("] has no http(s) address"))).otherwise(leaves)
+    return files.select("file", F.posexplode(checked).alias("pos", "l")).select("file", "pos", "l.*")
+
+
+WALKED = "share string, folder string, at int, path array<string>, ord array<int>"
+
+
+def tree_leaves(cards: DataFrame, most_folders: int = 200) -> DataFrame:
+    """cards (share, parent, id, name, is_folder, pos) that the walk of each share's folders finds: (share, id, name, path, ord).
+
+    The walk begins at the parent that equals the share, goes depth first in the order of cards, into a folder once, and
+    into so many folders at most. Only folders meet in a task, a share's; leaves are joined to those walked. ord orders a share's leaves."""
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        share = pdf["share"].iloc[0]
+        below: dict[str, list] = {}
+        for parent, pos, ident, name in sorted(zip(pdf["parent"], pdf["pos"], pdf["id"], pdf["name"], strict=True), key=lambda x: x[1]):
+            below.setdefault(parent, []).append((int(pos), ident, name))
+        seen, out, todo = set(), [], [(share, [], [])]
+        while todo and len(seen) < most_folders:
+            folder, path, order = todo.pop()
+            if folder in seen:
+                continue
+            seen.add(folder)
+            out.append((share, folder, len(seen), path, order))
+            todo += [(ident, [*path, name], [*order, pos]) for pos, ident, name in reversed(below.get(folder, []))]
+        return pd.DataFrame(out, columns=["share", "folder", "at", "path", "ord"])
+
+    roots = cards.select("share").distinct().select("share", F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"), F.lit(0).alias("pos"))
+    folders = cards.where("is_folder").select("share", "parent", "id", "name", F.col("pos").cast("int").alias("pos")).union(roots)
+    visited = folders.groupBy("share").applyInPandas(walk, WALKED)
+    leaves = cards.where("not is_folder").join(visited.withColumnRenamed("folder", "parent"), ["share", "parent"])
+    return leaves.select("share", "id", "name", "path", F.concat("ord", F.array(F.col("pos").cast("int"))).alias("ord"))
+
+
 def feed_items(files: DataFrame) -> DataFrame:
     """(file, pos, title, pub_date, duration_s, enclosure, bytes) of RSS feeds."""
     item = F.posexplode(F.regexp_extract_all("content", F.lit(r"(?s)<item\b[^>]*>(.*?)</item>"), F.lit(1))).alias("pos", "x")
@@ -61,8 +108,10 @@ def feed_items(files: DataFrame) -> DataFrame:
 
 
 def json_rows(files: DataFrame, schema: str, keep: str = "file") -> DataFrame:
-    """The objects of JSON lists with pos; a file that is none has no rows, fields of a wrong type are null."""
-    rows = files.select(keep, F.posexplode(F.from_json("content", f"array<struct<{_fields(schema)}>>")).alias("pos", "r"))
+    """The objects of JSON lists with pos; fields of a wrong type are null. A file that is no list is refused: the job fails, as no items would pass for an empty pull."""
+    kind = f"array<struct<{_fields(schema)}>>"
+    listed = F.when(F.coalesce(F.col("content").rlike(r"(?s)^[\ufeff\s]*\["), F.lit(False)), F.from_json("content", kind))
+    rows = files.select(keep, F.posexplode(F.coalesce(listed, F.raise_error(F.concat(F.lit("not a JSON list: "), F.coalesce(F.left("content", F.lit(80)), F.lit("null")))).cast(kind))).alias("pos", "r"))
     return rows.select(keep, "pos", "r.*")
 
 

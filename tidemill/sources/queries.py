@@ -58,6 +58,29 @@ def item_file_order(spark, sf_dir):
     return read(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), name.alias("name")).groupBy("day").agg(F.min("name").alias("first"), F.max("name").alias("last"), F.count("*").alias("n"))
 
 
+def sitemap_odd_read(spark, sf_dir):
+    """Tags with a prefix, CDATA, numbered references, and an index."""
+    k = F.col("page_id")
+    loc = F.when(k % 3 == 0, F.concat(F.lit("<![CDATA["), "url", F.lit("]]>"))).when(k % 3 == 1, F.replace(F.replace(F.replace("url", F.lit("&"), F.lit("&#38;")), F.lit("/"), F.lit("&#x2F;")), F.lit("="), F.lit("&#61;"))).otherwise(F.concat(F.lit("\n "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("\t")))
+    pieces = F.concat(F.lit('<s:url id="1"><s:loc>'), loc, F.lit("</s:loc><s:lastmod >2024-01-02</s:lastmod></s:url>"))
+    return landed.sitemap_pages(_files(spark, sf_dir, pieces, '\n<s:urlset xmlns:s="urn:x">', "</s:urlset>")).unionByName(landed.sitemap_pages(_files(spark, sf_dir, F.concat(F.lit("<sitemap><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc></sitemap>")), "<sitemapindex>", "</sitemapindex>")))
+
+
+def manifest_read(spark, sf_dir):
+    leaf = F.to_json(F.struct(F.col("page_id").cast("string").alias("asset_id"), F.lit("n").alias("name"), F.array(F.lit("a"), F.lit("b")).alias("path"), F.col("url").alias("view_url")))
+    return landed.share_leaves(_files(spark, sf_dir, leaf, '{"leaves":[', "]}", ",")).select("file", "pos", "asset_id", F.array_join("path", "/").alias("path"), "view_url")
+
+
+def tree_walk(spark, sf_dir):
+    """Each share's folders hang below one another by the digits of their numbers; leaves lie in them all."""
+    k = F.col("page_id")
+    share = F.concat(F.lit("s"), (k % 2).cast("string"))
+    folders = read(spark, sf_dir, "pages").where("page_id < 80").select(share.alias("share"), F.when(k < 2, share).otherwise(F.concat(F.lit("f"), F.floor(k / 4) * 2 + k % 2)).alias("parent"), F.concat(F.lit("f"), k.cast("string")).alias("id"), F.concat(F.lit("n"), k.cast("string")).alias("name"), F.lit(True).alias("is_folder"), k.alias("pos"))
+    folders = folders.withColumn("parent", F.when(F.col("pos") < 2, F.col("share")).otherwise(F.concat(F.lit("f"), (F.floor((F.col("pos") - 2) / 4) * 2 + F.col("pos") % 2).cast("string"))))
+    leaves = read(spark, sf_dir, "pages").select(share.alias("share"), F.concat(F.lit("f"), (k % 80).cast("string")).alias("parent"), F.concat(F.lit("leaf"), k.cast("string")).alias("id"), F.lit("x").alias("name"), F.lit(False).alias("is_folder"), (k + 1000).alias("pos"))
+    return landed.tree_leaves(folders.union(leaves)).select("share", "id", F.array_join("path", "/").alias("path"))
+
+
 N = "CAST(row_number() OVER (PARTITION BY regexp_extract(url, '/(en|fr|de|es)/', 1) ORDER BY page_id) - 1 AS INTEGER)"
 FILE = "regexp_extract(url, '/(en|fr|de|es)/', 1)"
 MS = "lpad(CAST(epoch_us(ts) // 1000 AS VARCHAR), 13, '0')"
@@ -68,6 +91,11 @@ PAIRS = {
     "feed_read": (feed_read, f"SELECT {FILE} AS file, {N} AS pos, 'T' || page_id AS title, 60 + page_id % 10 AS duration_s, url AS enclosure, 5 AS bytes FROM pages"),
     "json_list_read": (json_list_read, f"SELECT {FILE} AS file, {N} AS pos, page_id AS id, url AS canonical_url, CAST(NULL AS VARCHAR) AS title FROM pages"),
     "archive_read": (archive_read, f"SELECT {FILE} AS page, {N} AS place, page_id AS id FROM pages"),
+    "sitemap_odd_read": (sitemap_odd_read, f"SELECT {FILE} AS file, {N} AS pos, url, '2024-01-02' AS lastmod, false AS child FROM pages UNION ALL SELECT {FILE}, {N}, url, NULL, true FROM pages"),
+    "manifest_read": (manifest_read, f"SELECT {FILE} AS file, {N} AS pos, CAST(page_id AS VARCHAR) AS asset_id, 'a/b' AS path, url AS view_url FROM pages"),
+    "tree_walk": (tree_walk, """WITH RECURSIVE f AS (SELECT page_id AS k, CASE WHEN page_id >= 2 THEN (page_id - 2) // 4 * 2 + page_id % 2 END AS up FROM pages WHERE page_id < 80),
+w AS (SELECT k, 'n' || k AS path FROM f WHERE up IS NULL UNION ALL SELECT f.k, w.path || '/n' || f.k FROM f JOIN w ON f.up = w.k)
+SELECT 's' || page_id % 2 AS share, 'leaf' || page_id AS id, path FROM pages JOIN w ON page_id % 80 = k"""),
     "keyless_read": (keyless_read, "SELECT page_id, page_id AS id, true AS keyless FROM pages"),
     "item_file_order": (item_file_order, f"WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, {MS} || '--' || event_id || '.json' AS name FROM events) SELECT day, min(name) AS first, max(name) AS last, count(*) AS n FROM e GROUP BY 1"),
 }
