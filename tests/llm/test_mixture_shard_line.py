@@ -106,3 +106,19 @@ def test_line_query_equals_oracle(spark, tmp_path):
     want = sorted(con.execute(line_dedup.ORACLES["op9_line_dedup"]).fetchall())
     assert got == [(a, b, c, d) for a, b, c, d in want]
     assert got[0][3] == hashlib.sha256(b"only 0\n").hexdigest()
+
+
+def test_line_query_equals_oracle_on_null_and_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, f"nine\nmine {i}") for i in range(9)] + [(i, f"eight\nother {i}") for i in range(8)]
+    rows += [(0, "eight\neight"), (0, "eight"), (3, None), (None, "nine\nrest"), (None, "nine"), (None, "eight\nrest"), (None, "eight\nrest"), (None, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r) for r in line_dedup.op9_line_dedup(spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert sorted(got, key=str) == sorted(con.execute(line_dedup.ORACLES["op9_line_dedup"]).fetchall(), key=str)
+    # nine ids and the null one hold "nine"; eight ids and the null one hold "eight"
+    kept = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r[0], *r[2:]) for r in got if r[0] == 8) == [(8, 1, kept("mine 8"))]
+    assert sorted(str((r[1], r[2], r[3])) for r in got if r[0] is None) == sorted(str(x) for x in [(2, 1, kept("rest")), (1, 1, kept("")), (2, 0, kept("eight\nrest")), (2, 0, kept("eight\nrest")), (1, 0, kept(""))])

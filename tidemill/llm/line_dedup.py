@@ -85,20 +85,22 @@ def op9_line_dedup(spark, sf_dir):
 QUERIES = {"op9_line_dedup": op9_line_dedup}
 ORACLES = {
     "op9_line_dedup": """
-WITH lines AS (
-  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+WITH rows AS (
+  SELECT doc_id, text, row_number() OVER () AS r FROM documents
+), lines AS (
+  SELECT r, doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
          unnest(string_split(coalesce(text, ''), chr(10))) AS line
-  FROM documents
+  FROM rows
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines
 ), frequent AS (
-  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 10
 ), flagged AS (
-  SELECT k.doc_id, k.pos, k.line, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+  SELECT k.r, k.doc_id, k.pos, k.line, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 )
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM flagged GROUP BY doc_id
+FROM flagged GROUP BY r, doc_id
 """
 }
