@@ -30,7 +30,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_CODES = mix64(np.arange(1, 257, dtype=np.uint64))[LOWER]
+EXACT = mix64(np.arange(1, 257, dtype=np.uint64))
+_CODES = EXACT[LOWER]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,14 +108,14 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.diff(np.searchsorted(starts, off))
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z taken as a-z."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = _CODES) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z taken as a-z; with the codes EXACT case counts."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         powers, inverse = _powers(len(raw))
         run = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_CODES[raw] * powers, out=run[1:])
+        np.cumsum(codes[raw] * powers, out=run[1:])
         return mix64((run[ends] - run[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
