@@ -10,7 +10,7 @@ from importlib import import_module
 
 MODULES = (
     "ppm_scoring", "chat_format", "block_labeller", "parity_join", "containment", "mixture", "fm_quality", "shard_tree",
-    "line_dedup", "projection_forest", "ftrl_toxicity", "word_runs",
+    "line_dedup", "projection_forest", "ftrl_toxicity", "vector_approximation", "word_runs",
 )
 
 
