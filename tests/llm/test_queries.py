@@ -225,6 +225,20 @@ def test_op8_equal_rows_beyond_a_bucket(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("base,counts", [(16, (17, 30)), (6, (6,))])
+def test_op8_grows_again_and_again(spark, base, counts):
+    from tidemill.llm import shard_tree
+
+    docs = spark.range(6000).selectExpr("id as doc_id", "'t' as text")
+    for n in counts:
+        a, b = ({r["doc_id"]: (r["shard"], r["grown_shard"]) for r in shard_tree.assign(docs, shards=k, base=base).collect()} for k in (n, n + 1))
+        moved = {d for d in a if a[d][0] != b[d][0]}
+        assert all(a[d][1] == b[d][0] for d in a) and moved and {b[d][0] for d in moved} == {n}
+        assert 0.5 * 6000 / (n + 1) < len(moved) < 2 * 6000 / (n + 1)
+    with pytest.raises(ValueError):
+        shard_tree.assign(docs, shards=base - 1, base=base)
+
+
 def test_op8_weights(spark):
     from tidemill.llm import shard_tree
 

@@ -31,7 +31,12 @@ class Node:
 
 
 def tree(shards: int = 16, racks: int = 4, in_rack: int = 4, base: int = 16, weights: dict[int, float] | None = None) -> Node:
-    """Shards below base in racks of in_rack, racks of half the number in a region; each one from base on in its own region."""
+    """Shards below base in racks of in_rack, racks of half the number in a region; each one from base on in its own region.
+
+    base is the number of shards that the first layout had, and stays as it was when shards are added: fewer shards than base are
+    refused, as grouping them anew would move rows between shards that stay."""
+    if not 0 < base <= shards:
+        raise ValueError(f"{shards} shards are fewer than the {base} of the first layout: give the base that the first layout had")
     weigh = lambda k: (weights or {}).get(k, 1.0)
     leaves = [Node(f"s{k}", weigh(k), (), k) for k in range(shards)]
 
@@ -68,13 +73,16 @@ def place(node: Node, key: Column) -> Column:
     return out
 
 
-def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, slot_rows: int = 50_000) -> DataFrame:
+def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, slot_rows: int = 50_000, base: int = 16) -> DataFrame:
     """docs with shard, slot, shard_size, shard_crc32 and grown_shard (the shard if there is one more), in place of columns of these names.
 
+    The grown shard of any number of shards is the shard of one more, and differs only where it is the new one, as long as base, the number of the first layout
+    (at most shards, else an error), is kept.
+
     Size: the text's UTF-8 bytes plus 1, for null 1, however long. Slots count from 0 in each shard without gaps, in the order of
     buckets of about slot_rows rows and within these of (id, checksum, size); rows equal in these are interchangeable, and where
     over slot_rows are equal they come last in their shard. An empty table gives no rows."""
-    now, grown = tree(shards, base=shards), tree(shards + 1, base=shards)
+    now, grown = tree(shards, base=base), tree(shards + 1, base=base)
     sized = docs.withColumns({
         "shard_size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1,
         "shard_crc32": F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")),
