@@ -1,4 +1,7 @@
 import io
+import random
+import re
+import unicodedata
 import zipfile
 
 from pyspark.sql import functions as F
@@ -65,15 +68,50 @@ def test_html():
 
 def test_html_checks(spark):
     df = spark.createDataFrame([("<h1>Sign in</h1>",), ("<p>Too many requests</p>",), ('<div class="c">x</div> subscribe to read',), (None,)], "p string").select(html.shape_column(F.col("p"), "c").alias("s"))
-    got = [tuple(r) for r in df.select(html.unusable(F.col("s"), "(?i)^sign in", ["too many requests"]), html.paywalled(F.col("s"), ["subscribe to read"])).collect()]
-    assert got == [("auth", False), ("soft block", False), (None, True), ("error", False)]
+    got = [tuple(r) for r in df.select(html.unusable(F.col("s"), ".c", soft=("too many requests",))["why"], html.paywalled(F.col("s"), ["subscribe to read"])).collect()]
+    assert got == [("auth", False), ("error", False), (None, True), ("error", False)]
     assert one(spark, html.meta_content(F.col("p"), "og:title"), p='<meta content="A b" property="og:title"><meta property="og:title" content="c">') == "A b"
 
 
 def test_matching(spark):
     its = spark.createDataFrame([("s", 1, "deep sea fish", 100), ("s", 2, "other", None), ("t", 3, "deep sea fish", 100)], "show string, item int, want string, seconds int")
     feed = spark.createDataFrame([("s", 10, "the deep sea fish show", 120, 0), ("s", 11, "deep sea fish", 100, 1), ("s", 12, "deep sea", 900, 2)], "show string, entry int, have string, seconds int, pos int")
-    assert [tuple(r) for r in matching.best_matches(its, feed).collect()] == [(1, 10, 1.75)]
+    assert [tuple(r) for r in matching.best_matches(its, feed).collect()] == [("s", 1, 10, 1.75)]
+
+
+def test_matching_is_the_plain_search(spark):
+    rng = random.Random(6)
+    say = lambda n: "".join(rng.choice(["art", "ear", "s", "the", "par", "ty", " ", " ", " "]) for _ in range(rng.randrange(0, n)))
+    title = lambda n: " ".join(say(n).split())
+    its = [(f"s{k % 3}", k % 40, title(14), rng.choice([None, 0, 100, 900])) for k in range(120)]
+    its = list({r[:2]: r for r in its}.values())
+    feed = [(f"s{k % 3}", k // 3, rng.choice([title(14), title(4), rng.choice(its)[2], title(3) + " " + rng.choice(its)[2] + say(2)]).strip(), rng.choice([None, 120, 1000]), (k * 7) % 240) for k in range(240)]
+    feed = [(*r[:2], " ".join(r[2].split()), *r[3:]) for r in feed]
+    want = []
+    for show, item, name, secs in its:
+        best, top = None, 0.0
+        for s, entry, have, had, _ in sorted(feed, key=lambda r: r[4]):
+            if s != show:
+                continue
+            a, b = set(name.split()), set(have.split())
+            fits = had is None or not secs or abs(had - secs) <= 150
+            score = len(a & b) / max(1, len(a)) + (0.5 if name in have or have in name else 0) + (0.25 if fits else -0.5)
+            if score > top:
+                best, top = entry, score
+        if top >= 1.0:
+            want.append((show, item, best, round(top, 6)))
+    its, feed = spark.createDataFrame(its, "show string, item int, want string, seconds int"), spark.createDataFrame(feed, "show string, entry int, have string, seconds int, pos int")
+    got = sorted((r["show"], r["item"], r["entry"], round(r["score"], 6)) for r in matching.best_matches(its, feed).collect())
+    assert got == sorted(want) and len(want) > 30
+
+
+def test_match_title_is_the_rule_for_every_character(spark):
+    signs = [chr(c) for c in (*range(32, 0xD800), *range(0xE000, 0x110000))]
+    texts = ["a" + "b".join(signs[k : k + 500]) + "A" for k in range(0, len(signs), 500)] + ["Résumé!", " ﬁne ½ K ", "", None, "x" + "é" * 3]
+    rule = lambda s: re.sub("[^a-z0-9]+", " ", unicodedata.normalize("NFKD", s).lower()).strip()
+    got = [r["k"] for r in spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, s string").select("i", text.match_title(F.col("s")).alias("k")).orderBy("i").collect()]
+    bad = [(s, g) for s, g in zip(texts, got, strict=True) if g != (None if s is None else rule(s))]
+    assert not bad
 
 
 def test_pull_rules(spark):

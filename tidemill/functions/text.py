@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import string
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -167,11 +169,45 @@ def page_key(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t.strip()).casefold())
 
 
-@pandas_udf(T.StringType())
-def match_title(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Decomposed lower letters and digits, other runs one space. Spark has no normaliser."""
+@cache
+def _ascii_letters() -> tuple[str, str, str, dict[str, str]]:
+    """From the decompositions of all characters: those that are one ASCII letter or digit, these, those of them with marks behind it, and what else holds any."""
     import re
     import unicodedata
 
-    for s in titles:
-        yield s.map(lambda t: None if t is None else re.sub("[^a-z0-9]+", " ", unicodedata.normalize("NFKD", t).lower()).strip())
+    plain, to, marked, odd = [], [], [], {}
+    for c in map(chr, (*range(128, 0xD800), *range(0xE000, 0x110000))):
+        folded = re.sub("[^a-z0-9]+", " ", unicodedata.normalize("NFKD", c).lower())
+        if len(folded.strip()) == 1 and not folded.startswith(" "):
+            plain.append(c)
+            to.append(folded[0])
+            if len(folded) > 1:
+                marked.append(c)
+        elif folded.strip():
+            odd[c] = folded
+    return "".join(plain), "".join(to), "".join(marked), odd
+
+
+def _ranges(characters: Iterable[str]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for c in sorted(map(ord, characters)):
+        if out and c == out[-1][1] + 1:
+            out[-1] = (out[-1][0], c)
+        else:
+            out.append((c, c))
+    return out
+
+
+def match_title(title: Column) -> Column:
+    """Decomposed (compatibility) lower ASCII letters and digits, other runs one space: what two titles of a show must share to be compared.
+
+    Spark has no normaliser: letters are translated by a table from the characters' decompositions, a mark is a space behind its letter, and characters of
+    several letters, as ligatures, are looked up in a map where a title has any."""
+    plain, to, marked, odd = _ascii_letters()
+    # ASCII is turned away first, the rest goes by ranges
+    among = lambda cs: "[[^\\x00-\\x7f]&&[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _ranges(cs)) + "]]"
+    table = F.str_to_map(F.lit(",".join(f"{c}:{said}" for c, said in odd.items())), F.lit(","), F.lit(":"))  # folded to one literal
+    spelt = F.when(title.rlike(among(odd)), F.array_join(F.transform(F.split(title, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")).otherwise(title)
+    letters = F.when(spelt.rlike(r"[^\x00-\x7f]"), F.translate(F.regexp_replace(spelt, f"({among(marked)})", "$1 "), plain, to)).otherwise(spelt)
+    # only ASCII letters are lowered from here on: others are signs
+    return F.trim(F.regexp_replace(F.translate(letters, string.ascii_uppercase, string.ascii_lowercase), "[^a-z0-9]+", " "))

@@ -126,21 +126,36 @@ def carried(updates: DataFrame, previous: DataFrame) -> DataFrame:
     return both.select("ticket", F.when(better, F.col("_s")).otherwise(F.col("status")).alias("status"), F.when(better, F.col("_r")).otherwise(F.col("reason")).alias("reason"))
 
 
-def why_for(error: Column, code: Column, timeout_first: bool = False) -> Column:
-    """denied, auth, timeout or error of a failed fetch."""
-    tests = [("denied", error.rlike("(?i)(proxy|denied|not allowed)")), ("auth", code.isin(401, 403, 407)), ("timeout", error.rlike("(?i)timed? ?out"))]
-    if timeout_first:
-        tests = [tests[0], tests[2], tests[1]]
-    return first_reason([*tests, ("error", F.lit(True))])
+# What a refusal by the proxy says, and the statuses of a session that is not let in or a page that is over.
+DENIED = ("tunnel connection failed", "not in the allowlist")
+AUTH_CODES, GONE_CODES = (401, 403, 407), (404, 410)
 
 
-def gone_status(code: Column, denied: Column) -> Column:
-    return code.isin(404, 410) & ~denied
+def denied(error: Column) -> Column:
+    """Whether a failure is the proxy's refusal of a host, whatever status it came with."""
+    return F.coalesce(F.exists(F.array(*(F.lit(m) for m in DENIED)), lambda m: F.contains(F.lower(error), m)), F.lit(False))
+
+
+def why_for(error: Column, code: Column) -> Column:
+    """denied, auth, timeout or error of a failed fetch. code: the answer's status; null if there was none, and then only it may have timed out."""
+    late = F.coalesce(error.rlike("(?i)timed out"), F.lit(False)) & code.isNull()
+    return first_reason([("denied", denied(error)), ("auth", code.isin(*AUTH_CODES)), ("timeout", late), ("error", F.lit(True))])
+
+
+def why_said(said: Column) -> Column:
+    """The same four words, of a failure that is known by its text alone: a timeout comes before a status."""
+    status = rf"\b({'|'.join(map(str, AUTH_CODES))})\b|auth/paywall"
+    return first_reason([("denied", denied(said)), ("timeout", said.rlike("(?i)timed out|timeout")), ("auth", F.lower(said).rlike(status)), ("error", F.lit(True))])
+
+
+def gone_status(code: Column, refused: Column) -> Column:
+    """Whether a page is over; not if the proxy made the status up."""
+    return F.coalesce(code.isin(*GONE_CODES), F.lit(False)) & ~refused
 
 
 def halts(why: Column, code: Column) -> Column:
     """Whether a failure ends the fetches of its host."""
-    return why.isin("auth", "denied") | (code == 429)
+    return why.isin("auth", "denied") | F.coalesce(code == 429, F.lit(False))
 
 
 def first_missing(missing: DataFrame) -> DataFrame:
@@ -165,10 +180,21 @@ def status_report(spark, sf_dir):
 
 
 def failure_reasons(spark, sf_dir):
-    code = F.element_at(F.array(*(F.lit(x) for x in (200, 401, 404, 429, 500))), (F.col("event_id") % 5 + 1).cast("int"))
-    error = F.when(F.col("event_id") % 3 == 0, "timed out").when(F.col("event_id") % 7 == 0, "proxy denied").otherwise("x")
-    why = why_for(error, code)
-    return read(spark, sf_dir, "events").select("event_id", why.alias("why"), why_for(error, code, True).alias("entity_why"), gone_status(code, why == "denied").alias("gone"), halts(why, code).alias("halts"))
+    """Every page as a fetch that failed, with a message of a venue, a proxy or a socket about the page's own host."""
+    host = u.host(F.col("url"))
+    said = [
+        (None, "<urlopen error Tunnel connection failed: 403 Forbidden>"), (403, "HTTP Error 403: Forbidden: host {}:80 is not in the allowlist"), (404, "HTTP Error 404: host {}:80 is NOT IN THE ALLOWLIST"), (403, "HTTP Error 403: Forbidden"),
+        (None, "<urlopen error [Errno 111] Connection refused>"), (None, "The read operation timed out"), (504, "HTTP Error 504: {} timed out"), (410, "HTTP Error 410: Gone"), (None, "proxy denied access to {}"), (401, "HTTP Error 401: timeout of the session at {}"),
+        (None, "Auth/Paywall at {}"), (None, "error 4031 at {}"), (429, "HTTP Error 429: Too Many Requests"), (404, "HTTP Error 404: Not Found"), (None, None),
+    ]
+    k = F.col("page_id") % len(said)
+    code, error = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for n, (c, text) in enumerate(said[:-1]):
+        parts = [F.lit(x) for x in text.split("{}")]
+        code, error = F.when(k == n, F.lit(c).cast("int")).otherwise(code), F.when(k == n, F.concat(parts[0], host, parts[1]) if len(parts) > 1 else parts[0]).otherwise(error)
+    rows = read(spark, sf_dir, "pages").select("page_id", code.alias("code"), error.alias("error"))
+    why = why_for(F.col("error"), F.col("code"))
+    return rows.select("page_id", why.alias("why"), why_said(F.col("error")).alias("entity_why"), gone_status(F.col("code"), denied(F.col("error"))).alias("gone"), halts(why, F.col("code")).alias("halts"))
 
 
 def missing_dedupe(spark, sf_dir):
@@ -229,9 +255,8 @@ SELECT ticket, CASE WHEN k > 0 AND k = p THEN 'ok' WHEN k > 0 AND un > 0 THEN 'p
  CASE WHEN k = p THEN 'ok' WHEN k > 0 AND un > 0 THEN 'partial' WHEN k > 0 THEN 'ok' ELSE 'failed' END AS share,
  CASE WHEN k > 0 AND (un > 0 OR over > 3) THEN 'partial' WHEN k > 0 THEN 'ok' ELSE 'failed' END AS archive, CASE WHEN k = 0 THEN 'failed' WHEN over > 2 THEN 'partial' ELSE 'ok' END AS entity,
  CASE WHEN k > 0 THEN 'ok' WHEN un > 0 THEN 'failed' ELSE 'ok' END AS process, CASE WHEN k = 0 THEN 'failed' WHEN over > 0 THEN 'partial' ELSE 'ok' END AS written, CASE WHEN un > 0 THEN 'partial' ELSE 'ok' END AS ledger FROM c"""),
-    "failure_reasons": (failure_reasons, """WITH e AS (SELECT event_id, [200, 401, 404, 429, 500][event_id % 5 + 1] AS code, event_id % 3 = 0 AS late, event_id % 3 <> 0 AND event_id % 7 = 0 AS denied FROM events)
-SELECT event_id, CASE WHEN denied THEN 'denied' WHEN code = 401 THEN 'auth' WHEN late THEN 'timeout' ELSE 'error' END AS why, CASE WHEN denied THEN 'denied' WHEN late THEN 'timeout' WHEN code = 401 THEN 'auth' ELSE 'error' END AS entity_why,
- code = 404 AND NOT denied AS gone, denied OR code IN (401, 429) AS halts FROM e"""),
+    "failure_reasons": (failure_reasons, """SELECT page_id, string_split('denied denied denied auth error timeout error error error auth error error error error error', ' ')[page_id % 15 + 1] AS why,
+ string_split('denied denied denied auth error timeout timeout error error timeout auth error error error error', ' ')[page_id % 15 + 1] AS entity_why, page_id % 15 IN (7, 13) AS gone, page_id % 15 IN (0, 1, 2, 3, 9, 12) AS halts FROM pages"""),
     "missing_dedupe": (missing_dedupe, "SELECT regexp_replace(url, '[?#].*$', '') AS url, arg_min(regexp_extract(url, '^https?://([^/]*)', 1), page_id) AS host, 'error' AS why, min(page_id) AS pos FROM pages GROUP BY regexp_replace(url, '[?#].*$', '')"),
 }
 QUERIES, ORACLES = split(PAIRS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import times as d
 from tidemill.functions import urls as u
+from tidemill.operators.report import why_said
 from tidemill.plans.planning import first_reason
 from tidemill.registry import read, split
 
@@ -63,7 +64,7 @@ def walked(pages: DataFrame, by: str, host: str) -> DataFrame:
     strange = ~F.coalesce(F.endswith(u.host(F.col("url")), F.lit(host)), F.lit(False)) & (F.col("page") > 0)
     lost = strange | F.col("error").isNotNull() | F.coalesce(F.col("status") != 200, F.lit(True))
     first = pages.withColumn("_said", F.when(strange, "the next page is not the venue's").when(F.col("error").isNotNull(), F.col("error")).otherwise(F.concat(F.lit("HTTP "), F.col("status").cast("string"))))
-    why = F.when(strange, "error").when(F.col("error").rlike("(?i)timed? ?out"), "timeout").when(F.col("error").rlike("(?i)(proxy|denied|not allowed)"), "denied").when(F.col("error").isNull() & F.col("status").isin(401, 403), "auth").otherwise("error")
+    why = F.when(strange, "error").otherwise(why_said(F.col("_said")))
     ends = first.where(lost).groupBy(by).agg(F.min("page").alias("_end"), F.min_by(F.struct("url", why.alias("why"), F.left("_said", F.lit(200)).alias("said")), "page").alias("_cut"))
     return pages.join(ends, by, "left").withColumn("had", F.col("_end").isNull() | (F.col("page") < F.col("_end"))).withColumnRenamed("_cut", "cut").drop("_end")
 
@@ -133,7 +134,7 @@ def entity_flatten(spark, sf_dir):
 
 def paged_lists(spark, sf_dir):
     k = F.col("page_id")
-    error = F.when(k == 87, "read timed out").when(k == 65, "proxy denied")
+    error = F.when(k == 87, "read timed out").when(k == 65, "Tunnel connection failed: 403 Forbidden")
     status = F.when(k == 45, 429).when(k == 60, 403).when(error.isNotNull(), None).otherwise(200)
     url = F.concat(F.when(k == 76, "https://api.example.com.evil.org/p").otherwise("https://api.example.com/p"), k.cast("string"))
     pages = read(spark, sf_dir, "pages").select((k % 8).alias("entity"), F.floor(k / 8).alias("page"), url.alias("url"), status.alias("status"), error.alias("error"), (k % 3 + 1).alias("size"), (k + 100).alias("total"))
@@ -184,7 +185,7 @@ e AS (SELECT entity, min(k) AS k FROM p WHERE k IN (45, 60, 65, 76, 87) GROUP BY
 g AS (SELECT entity, CAST(sum(CASE WHEN e.k IS NULL OR p.k < e.k THEN size ELSE 0 END) AS BIGINT) AS got, min(p.k) + 100 AS total, min(e.k) AS k FROM p LEFT JOIN e USING (entity) GROUP BY entity)
 SELECT entity, got, CASE WHEN k = 76 THEN 'https://api.example.com.evil.org/p76' WHEN k IS NOT NULL THEN 'https://api.example.com/p' || k END AS url,
   CASE k WHEN 45 THEN 'error' WHEN 60 THEN 'auth' WHEN 65 THEN 'denied' WHEN 76 THEN 'error' WHEN 87 THEN 'timeout' END AS why,
-  CASE k WHEN 45 THEN 'HTTP 429' WHEN 60 THEN 'HTTP 403' WHEN 65 THEN 'proxy denied' WHEN 76 THEN 'the next page is not the venue''s' WHEN 87 THEN 'read timed out' END AS said, CASE WHEN k IS NOT NULL THEN total END AS expected FROM g"""),
+  CASE k WHEN 45 THEN 'HTTP 429' WHEN 60 THEN 'HTTP 403' WHEN 65 THEN 'Tunnel connection failed: 403 Forbidden' WHEN 76 THEN 'the next page is not the venue''s' WHEN 87 THEN 'read timed out' END AS said, CASE WHEN k IS NOT NULL THEN total END AS expected FROM g"""),
     "catalog_search": (catalog_search, """WITH r AS (SELECT page_id, unnest(['episode', CASE WHEN page_id % 2 = 0 THEN 'episode' ELSE 'track' END]) AS type FROM pages)
 SELECT page_id, type, 'N' AS name, CASE WHEN page_id % 2 = 0 THEN 'S' END AS "by", CAST(NULL AS VARCHAR) AS release_date,
   CASE WHEN page_id = 0 THEN NULL WHEN page_id * 61 >= 3600 THEN printf('%d:%02d:%02d', page_id * 61 // 3600, page_id * 61 % 3600 // 60, page_id * 61 % 60) ELSE printf('%d:%02d', page_id * 61 // 60, page_id * 61 % 60) END AS duration, 'https://open.example.com/' || type || '/x' || page_id AS url FROM r"""),
