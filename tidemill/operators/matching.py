@@ -41,18 +41,21 @@ def best_matches(items: DataFrame, entries: DataFrame, tolerance: float = 150, l
     by_item = ranked.select("show", "item", F.explode(picks).alias("word")).join(known, ["show", "word"]).select("show", "item", "entry", "pos")
     # an entry inside an item's title is no longer than the longest of these, and all its inner words are asked for
     longest = wanted.groupBy("show").agg(F.max(F.char_length("want")).alias("longest"))
-    small = had.join(longest, "show").where(F.char_length("have") <= F.col("longest")).select("show", "entry", "pos", (F.size(F.split("have", " ")) <= 2).alias("brief"), inner(F.col("have")).alias("inner"))
+    # the key of a beginning is no longer than that of the whole
+    begun = entries.join(longest, "show").where(F.char_length(key(F.substring("have", F.lit(1), 2 * F.col("longest")))) <= F.col("longest")).select("show", "entry", "pos", "longest", key(F.col("have")).alias("have"))
+    small = begun.where(F.char_length("have") <= F.col("longest")).select("show", "entry", "pos", (F.size(F.split("have", " ")) <= 2).alias("brief"), inner(F.col("have")).alias("inner"))
     inside = small.select("show", "entry", "pos", "brief", F.size("inner").alias("words"), F.explode("inner").alias("word")).join(times_asked, ["show", "word"])
     inside = inside.groupBy("show", "entry", "pos", "brief", "words").agg(F.sort_array(F.collect_list(F.struct("asked", "word"))).alias("rare")).where(F.col("brief") | (F.size("rare") == F.col("words")))
     rarest = F.when(F.col("brief"), F.col("rare")).otherwise(F.slice("rare", 1, 1))
     by_entry = inside.select("show", "entry", "pos", F.explode(F.transform(rarest, lambda r: r["word"])).alias("word")).join(asked, ["show", "word"]).select("show", "item", "entry", "pos")
     pairs = by_item.union(by_entry).distinct()
-    # only what is in a pair is read whole
-    read_again = entries.join(pairs.select("show", "entry", "pos").distinct(), ["show", "entry", "pos"], "left_semi").select("show", "entry", "pos", key(F.col("have")).alias("have"), F.col("seconds").alias("have_s"))
-    full = pairs.join(wanted, ["show", "item"]).join(read_again, ["show", "entry", "pos"])
+    # each entry that is in a pair is read once more, with the items it may serve
+    served = pairs.groupBy("show", "entry", "pos").agg(F.collect_list("item").alias("item"))
+    again = entries.join(served, ["show", "entry", "pos"]).select("show", "entry", "pos", key(F.col("have")).alias("have"), F.col("seconds").alias("have_s"), "item")
+    full = again.withColumn("had", words(F.col("have"))).withColumn("item", F.explode("item")).join(wanted, ["show", "item"])
     agree = F.col("have_s").isNull() | (F.coalesce("want_s", F.lit(0)) == 0) | (F.abs(F.col("have_s") - F.col("want_s")) <= tolerance)
     contained = F.contains("have", F.col("want")) | (F.contains("want", F.col("have")))
-    overlap = F.size(F.array_intersect(words(F.col("want")), words(F.col("have")))) / F.size(words(F.col("want")))
+    overlap = F.size(F.array_intersect(words(F.col("want")), F.col("had"))) / F.size(words(F.col("want")))
     score = overlap + F.when(contained, 0.5).otherwise(0.0) + F.when(F.coalesce(agree, F.lit(True)), 0.25).otherwise(-0.5)
     best = full.withColumn("score", score).where(F.col("score") >= least).groupBy("show", "item").agg(F.max_by(F.struct("entry", "score"), F.struct("score", (-F.col("pos")).alias("first"))).alias("m"))
     return best.select("show", "item", "m.entry", "m.score")
