@@ -73,7 +73,7 @@ def test_ftrl_is_the_plain_loop():
     labels = np.asarray([float(3 in t) for t in texts])
     m = ft.ftrl(texts, labels, epochs=2, l1=0.5)
     times = Counter(int(k) for t in texts for k in t)
-    keys = [-1, *sorted(k for k in times if times[k] > 1)]
+    keys = [-1, *sorted(k for k in times if times[k] >= ft.COMMON)]
     z, n = dict.fromkeys(keys, 0.0), dict.fromkeys(keys, 0.0)
     share = labels.mean()
     heavy = {1.0: min(4, max(1, (1 - share) / share)), 0.0: min(4, max(1, share / (1 - share)))}
@@ -85,7 +85,7 @@ def test_ftrl_is_the_plain_loop():
     order = np.random.default_rng(1)
     for _ in range(2):
         for d in order.permutation(len(texts)):
-            x = [-1, *(int(k) for k in texts[d] if times[int(k)] > 1)]
+            x = [-1, *(int(k) for k in texts[d] if times[int(k)] >= ft.COMMON)]
             ws = {k: w(k) for k in x}
             g = heavy[labels[d]] * (1 / (1 + math.exp(-sum(ws.values()))) - labels[d])
             for k in x:

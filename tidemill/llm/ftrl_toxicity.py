@@ -6,7 +6,8 @@ the squares of the gradients it has met, and the L1 term keeps a weight at zero
 of many million features have weights, and these are broadcast as two sorted arrays. Hashes have 64 bits:
 the words of a long text do not meet those that have weights by chance.
 
-The fit takes a bounded sample of the labelled rows, in which features that only one text has teach nothing; scoring reads whole texts, in windows.
+The fit takes a bounded sample of the labelled rows; features that fewer than COMMON texts of it have could not outgrow the L1 term, and are
+left out before the driver gathers the rest. Scoring reads whole texts, in windows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ _SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _PAIR, _SKIP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 #: Bytes of a longer word's beginning that are a feature too, for its other endings.
 HEADS = (4, 6)
+#: Texts of the sample that a feature needs, and the parts in which features are counted.
+COMMON, PARTS = 3, 16
 #: Entries of the table that most hashes without a weight are turned away by.
 _DOOR = 1 << 16
 
@@ -90,12 +93,12 @@ def ftrl(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, alpha: fl
     if len(set(y.tolist())) < 2:
         return Model.of(np.zeros(0, np.uint64), np.zeros(0), 0.0 if not len(y) else 4.0 if y[0] else -4.0)
     keys, times = np.unique(np.concatenate(texts), return_counts=True)
-    keys = keys[times > 1]
+    keys = keys[times >= COMMON]
     own = []
     for t in texts:
         at = np.searchsorted(keys, t)
         at[at == len(keys)] = 0
-        own.append(at[keys[at] == t] + 1 if len(keys) else np.zeros(0, np.int64))
+        own.append((at[keys[at] == t] + 1).astype(np.int32) if len(keys) else np.zeros(0, np.int32))
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)  # at 0 the bias, which L1 leaves alone
     # both labels weigh alike in sum at most fourfold, so that 0.5 parts them also where one is rare
     weight = np.where(y > 0, min(4.0, max(1.0, (1 - y.mean()) / y.mean())), min(4.0, max(1.0, y.mean() / (1 - y.mean()))))
@@ -108,7 +111,7 @@ def ftrl(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, alpha: fl
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for k in rng.permutation(len(own)):
-            i = np.concatenate(([0], own[k]))
+            i = np.concatenate((np.zeros(1, np.int32), own[k]))
             w = weights(z[i], n[i])
             g = weight[k] * (1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y[k])
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
@@ -132,15 +135,29 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.flatnonzero(np.diff(row, prepend=-1, append=-1))
             for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 parts[row[x]].append(gram[x:y])
-        sets = [(p[0] if len(p) == 1 else np.unique(np.concatenate(p)) if p else np.zeros(0, np.uint64)).tobytes() for p in parts]
-        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("o"), batch.column("x"), pa.array(sets, pa.binary())], names=["label", "o", "x", "grams"])
+        sets = [p[0] if len(p) == 1 else np.unique(np.concatenate(p)) if p else np.zeros(0, np.uint64) for p in parts]
+        for k in range(PARTS):
+            own = [s[s % np.uint64(PARTS) == k].tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("o"), batch.column("x"), pa.array([k] * len(own), pa.int32()), pa.array(own, pa.binary())], names=["label", "o", "x", "part", "grams"])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 12_000, sample_bytes: int = 20_000_000) -> Model:
+def _common(rows: pa.Table) -> pa.Table:
+    """A part's rows with only those features that COMMON texts have."""
+    sets = [np.frombuffer(g, np.uint64) for g in rows["grams"].to_pylist()]
+    keys, times = np.unique(np.concatenate(sets), return_counts=True)
+    keys = keys[times >= COMMON]
+    kept = []
+    for s in sets:
+        at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+        kept.append(s[keys[at] == s].tobytes() if len(keys) else b"")
+    return rows.select(["label", "o", "x"]).append_column("grams", pa.array(kept, pa.binary()))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 12_000, sample_bytes: int = 40_000_000) -> Model:
     """A model fitted on at most sample of the labelled rows with at most sample_bytes of text, picked by a hash of their id, with the whole text of each.
 
-    Rows of over a sixteenth of sample_bytes are not picked. So the driver gathers 16 times sample_bytes at the very most, about four times as a rule, as a text has fewer than two features for every
-    byte, of eight bytes each. Null labels and ids teach nothing, of an id labelled twice the larger label counts, a null text is empty, equal rows teach once.
+    Rows of over a sixteenth of sample_bytes are not picked. A text has fewer than two features for every byte, of eight bytes each, so that a part holds about sample_bytes at most, and the driver
+    gathers those that COMMON texts have: as much as sample_bytes as a rule, 16 times that at the very most. Null labels and ids teach nothing, of an id labelled twice the larger label counts, a null text is empty, equal rows teach once.
     Without rows of both labels all texts score alike. Other columns are not read."""
     shared.ship(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -155,9 +172,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     last = sizes[int(fits[-1])]
     rows = rows.where((F.col("o") < last["o"]) | (F.col("o") == last["o"]) & (F.col("x") <= last["x"]))
     rows = rows.groupBy("o", "x").agg(F.max("label").alias("label"), F.any_value("text").alias("text"))
-    found = rows.mapInArrow(_sampled, "label int, o long, x long, grams binary").collect()
-    found.sort(key=lambda r: (r["o"], r["x"]))
-    return ftrl([np.frombuffer(r["grams"], np.uint64) for r in found], np.asarray([r["label"] > 0 for r in found], np.float64))
+    parts = rows.mapInArrow(_sampled, "label int, o long, x long, part int, grams binary").groupBy("part").applyInArrow(_common, "label int, o long, x long, grams binary")
+    texts: dict[tuple, list[bytes]] = {}
+    for r in parts.toLocalIterator():
+        texts.setdefault((r["o"], r["x"], r["label"]), []).append(bytes(r["grams"]))
+    found = sorted(texts)
+    return ftrl([np.sort(np.frombuffer(b"".join(texts.pop(k)), np.uint64)) for k in found], np.asarray([k[2] > 0 for k in found], np.float64))
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
