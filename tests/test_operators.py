@@ -145,8 +145,6 @@ def test_sources(spark, tmp_path):
     ], "file string, content string")
     got = sorted((r["file"], r["pos"], r["url"], r["lastmod"], r["child"]) for r in landed.sitemap_pages(files).collect())
     assert got == [("a.xml", 0, "https://e.com/a?x=1&y=2", "2024-01-02", False), ("a.xml", 1, "https://e.com/b", None, False), ("i.xml", 0, "https://e.com/s.xml", None, True), ("j", 0, "https://e.com/c", None, False), ("j", 1, "https://e.com/d", "2024-02-01", False), ("l", 0, "https://e.com/e", None, False), ("l", 1, "https://e.com/f", None, False)]
-    feed = spark.createDataFrame([("f", '<rss><item><title><![CDATA[A & B]]></title><itunes:duration>1:02:03</itunes:duration><enclosure url="u" length="9"/></item><item><title>x</title></item></rss>')], "file string, content string")
-    assert [tuple(r)[2:] for r in landed.feed_items(feed).collect()] == [("A & B", None, 3723, "u", 9), ("x", None, None, None, 0)]
     pages = spark.createDataFrame([(0, '[{"id": 1, "slug": "a"}, {"id": 2}]'), (1, '[{"id": 3}]'), (2, "[]"), (3, '[{"id": 4}]')], "page int, content string")
     assert [r["id"] for r in landed.archive_posts(pages).orderBy("page", "place").collect()] == [1, 2, 3]
     cues = spark.createDataFrame([("v", "WEBVTT\n\n00:01.000 --> 00:02.000\nhi <c>there</c>\n\n00:03.000 --> 00:04.000\nyou\n")], "file string, content string")

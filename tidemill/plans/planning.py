@@ -186,7 +186,8 @@ def plan_share(leaves: DataFrame, known: DataFrame, target: Column, scope: str =
 def walk_archive(posts: DataFrame, known: DataFrame, target: Column, scope: str = "section", exclude: list[str] | None = None, min_date: str | None = None, max_date: str | None = None, access: str = "licensed", cap: int = 200, landed: DataFrame | None = None, by: str = "archive") -> DataFrame:
     """posts (url, pos, day, audience) up to the row that stops the walk, with why: its first below min_date or the first new one beyond the cap.
 
-    The walk is one running pass over each archive (column by) in its own order."""
+    Where an archive (column by) is left is found first: the least place of an old row, and the place of the fresh row after the cap, for which each task
+    sends cap + 1 places of an archive at most. Rows behind it are dropped by a join with one row an archive, so that no archive, however long, meets in one task."""
     df = flag_known(posts, F.col("url"), known)
     df = flag_known(df, F.col("url"), landed, "landed") if landed is not None else df.withColumn("landed", F.lit(False))
     old = F.coalesce(F.lit(min_date) > F.col("day"), F.lit(False)) if min_date else F.lit(False)
@@ -195,14 +196,13 @@ def walk_archive(posts: DataFrame, known: DataFrame, target: Column, scope: str
         ("min_date", old), ("newer", newer), ("scope", ~scope_archive(F.col("url"), target, scope)), ("excluded", excluded_archive(F.col("url"), exclude or [])),
         ("paywalled", F.lit(access == "free") & (F.coalesce("audience", F.lit("unknown")) != "everyone")), ("known", F.col("known")),
     ])
-    run = Window.partitionBy(by).orderBy("pos")
-    before = run.rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("why", why).withColumn("fresh", F.col("why").isNull() & ~F.col("landed"))
-    df = df.withColumn("planned", F.sum(F.col("fresh").cast("int")).over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    df = df.withColumn("stops", (F.coalesce(F.col("why"), F.lit("")) == "min_date") | (F.col("fresh") & (F.col("planned") > cap)))
-    seen = F.coalesce(F.max("stops").over(before), F.lit(False))
-    df = df.withColumn("after", seen).where(~F.col("after"))
-    return df.withColumn("why", F.when(F.col("fresh") & F.col("stops"), F.lit("truncated")).otherwise(F.col("why"))).drop("after", "fresh", "planned")
+    ends = df.where("why = 'min_date'").groupBy(by).agg(F.min("pos").alias("_end"))
+    first = df.where("fresh").select(by, "pos").withColumn("_nth", F.row_number().over(Window.partitionBy(by).orderBy("pos"))).where(F.col("_nth") <= cap + 1)
+    full = first.where(F.col("_nth") == cap + 1).select(by, F.col("pos").alias("_end"))
+    stop = ends.unionByName(full).groupBy(F.col(by).alias("_by")).agg(F.min("_end").alias("_end"))
+    walked = df.join(stop, F.col(by).eqNullSafe(F.col("_by")), "left").where("_end is null or pos <= _end")
+    return walked.withColumn("stops", F.coalesce(F.col("pos") == F.col("_end"), F.lit(False))).withColumn("why", F.when(F.col("fresh") & F.col("stops"), F.lit("truncated")).otherwise(F.col("why"))).drop("fresh", "_by", "_end")
 
 
 def numbered(df: DataFrame, by: Column | None = None, ranges: int = 64) -> DataFrame:
@@ -227,12 +227,32 @@ def single(target: Column, why: Column | None = None) -> Column:
 
 
 def halt_after_refusal(fetches: DataFrame, host: Column, refused: Column) -> DataFrame:
-    """fetches with halted: an earlier fetch of the host was refused."""
-    before = Window.partitionBy(host).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return fetches.withColumn("halted", F.coalesce(F.max(refused).over(before), F.lit(False)))
-
-
-def within_budget(fetches: DataFrame, cost: Column, budget: float, by: Column) -> DataFrame:
-    """fetches with reached: the sum of costs before it is within the budget."""
-    before = Window.partitionBy(by).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return fetches.withColumn("reached", F.coalesce(F.sum(cost).over(before), F.lit(0)) <= budget)
+    """fetches with halted: an earlier fetch (by pos) of the host was refused. The first refusal of each host is combined in the tasks and joined, one row a host."""
+    df = fetches.withColumn("_host", host)
+    first = df.where(refused).groupBy(F.col("_host").alias("_h")).agg(F.min("pos").alias("_first"))
+    return df.join(first, F.col("_host").eqNullSafe(F.col("_h")), "left").withColumn("halted", F.coalesce(F.col("pos") > F.col("_first"), F.lit(False))).drop("_host", "_h", "_first")
+
+
+def sum_before(df: DataFrame, value: Column, by: Column, name: str, order: str = "pos", piece: int = 200_000) -> DataFrame:
+    """df with the sum of value over the rows before it (by order, a number without ties) within by; null counts as 0.
+
+    A scan of two levels: keys of more than piece rows are cut at quantiles of their order, rows are summed within each piece, and the sums of the pieces, one row each,
+    give what stands before them. So a hot key goes to as many tasks as it has pieces."""
+    df = df.withColumn("_by", by).withColumn("_value", F.coalesce(value, F.lit(0)))
+    sizes = df.groupBy(F.col("_by").alias("_b")).agg(F.count("*").alias("_n")).where(F.col("_n") > piece)  # a row for each piece rows at most
+    hot = df.join(sizes, F.col("_by").eqNullSafe(F.col("_b")))
+    most = 256
+    cuts = hot.groupBy("_b").agg(F.percentile_approx(order, [k / most for k in range(1, most)]).alias("_cuts"))
+    dealt = df.join(cuts, F.col("_by").eqNullSafe(F.col("_b")), "left").withColumn("_piece", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0)))
+    dealt = dealt.withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(F.col("_piece"))).drop("_cuts", "_b")
+    pieces = dealt.groupBy("_by", "_piece").agg(F.sum("_value").alias("_sum"))
+    before = Window.partitionBy("_by").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows a key at most
+    begins = pieces.select(F.col("_by").alias("_b"), F.col("_piece").alias("_p"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_from"))
+    own = Window.partitionBy("_by", "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("_own", F.coalesce(F.sum("_value").over(own), F.lit(0)))
+    return summed.join(begins, F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_piece") == F.col("_p"))).withColumn(name, F.col("_from") + F.col("_own")).drop("_by", "_value", "_piece", "_own", "_b", "_p", "_from")
+
+
+def within_budget(fetches: DataFrame, cost: Column, budget: float, by: Column, piece: int = 200_000) -> DataFrame:
+    """fetches with reached: the sum of costs before it (by pos) is within the budget."""
+    return sum_before(fetches, cost, by, "_spent", piece=piece).withColumn("reached", F.col("_spent") <= budget).drop("_spent")

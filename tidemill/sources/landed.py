@@ -11,12 +11,13 @@ import zipfile
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tidemill.functions import times as d
+from tidemill.storage import saved
 
 POST = "id bigint, slug string, title string, audience string, post_date string, canonical_url string, type string"
 MAIL = "id string, internal_date bigint, thread string, from string, to string, date string, subject string, labels array<string>, attachments array<struct<name:string,mime:string>>, body string"
@@ -68,45 +69,34 @@ def share_leaves(files: DataFrame) -> DataFrame:
     return files.select("file", F.posexplode(checked).alias("pos", "l")).select("file", "pos", "l.*")
 
 
-WALKED = "share string, folder string, at int, path array<string>, ord array<int>"
-
-
-def tree_leaves(cards: DataFrame, most_folders: int = 200) -> DataFrame:
+def tree_leaves(cards: DataFrame, most_folders: int = 200, most_rounds: int = 1000) -> DataFrame:
     """cards (share, parent, id, name, is_folder, pos) that the walk of each share's folders finds: (share, id, name, path, ord).
 
-    The walk begins at the parent that equals the share, goes depth first in the order of cards, into a folder once, and
-    into so many folders at most. Only folders meet in a task, a share's; leaves are joined to those walked. ord orders a share's leaves."""
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        share = pdf["share"].iloc[0]
-        below: dict[str, list] = {}
-        for parent, pos, ident, name in sorted(zip(pdf["parent"], pdf["pos"], pdf["id"], pdf["name"], strict=True), key=lambda x: x[1]):
-            below.setdefault(parent, []).append((int(pos), ident, name))
-        seen, out, todo = set(), [], [(share, [], [])]
-        while todo and len(seen) < most_folders:
-            folder, path, order = todo.pop()
-            if folder in seen:
-                continue
-            seen.add(folder)
-            out.append((share, folder, len(seen), path, order))
-            todo += [(ident, [*path, name], [*order, pos]) for pos, ident, name in reversed(below.get(folder, []))]
-        return pd.DataFrame(out, columns=["share", "folder", "at", "path", "ord"])
-
-    roots = cards.select("share").distinct().select("share", F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"), F.lit(0).alias("pos"))
-    folders = cards.where("is_folder").select("share", "parent", "id", "name", F.col("pos").cast("int").alias("pos")).union(roots)
-    visited = folders.groupBy("share").applyInPandas(walk, WALKED)
-    leaves = cards.where("not is_folder").join(visited.withColumnRenamed("folder", "parent"), ["share", "parent"])
+    The walk begins at the parent that equals the share, goes depth first in the order of pos, into a folder once, and
+    into so many folders at most. ord orders a share's leaves; a leaf that is in several of them, or is repeated, comes with each.
+
+    Depth first is the order of the places along a path, and a folder is entered by the least path that leads to it. So paths are carried from the root downwards, a join a level: of
+    several paths to a folder the least stays, and of a share only the most_folders least, as what is behind these cannot come before them any more.
+    The state of a share is that many rows; rounds are as many as levels."""
+    folders = saved(cards.where("is_folder").select("share", "parent", "id", "name", F.col("pos").cast("int").alias("pos")))
+    start = cards.select("share").distinct()
+    state = saved(start.select("share", F.col("share").alias("folder"), F.array().cast("array<string>").alias("path"), F.array().cast("array<int>").alias("ord"), F.lit(True).alias("new")))
+    first = Window.partitionBy("share").orderBy("ord")
+    for _ in range(most_rounds):
+        below = state.where("new").join(folders.withColumnRenamed("parent", "folder"), ["share", "folder"])
+        found = below.select("share", F.col("id").alias("folder"), F.concat("path", F.array("name")).alias("path"), F.concat("ord", F.array("pos")).alias("ord"), F.lit(True).alias("new"))
+        both = found.unionByName(state.withColumn("new", F.lit(False)))
+        least = both.groupBy("share", "folder").agg(F.min_by(F.struct("path", "new"), F.struct("ord", "new")).alias("x"), F.min("ord").alias("ord"))
+        ranked = least.select("share", "folder", "x.path", "ord", "x.new", F.row_number().over(first).alias("at")).where(F.col("at") <= most_folders).drop("at")
+        state = saved(ranked)
+        if not state.where("new").limit(1).count():
+            break
+    else:
+        raise RuntimeError(f"folders did not end in {most_rounds} levels")
+    leaves = cards.where("not is_folder").join(state.select("share", F.col("folder").alias("parent"), "path", "ord"), ["share", "parent"])
     return leaves.select("share", "id", "name", "path", F.concat("ord", F.array(F.col("pos").cast("int"))).alias("ord"))
 
 
-def feed_items(files: DataFrame) -> DataFrame:
-    """(file, pos, title, pub_date, duration_s, enclosure, bytes) of RSS feeds."""
-    item = F.posexplode(F.regexp_extract_all("content", F.lit(r"(?s)<item\b[^>]*>(.*?)</item>"), F.lit(1))).alias("pos", "x")
-    tag = lambda name: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("x", rf"(?s)<{name}\b[^>]*>(.*?)</{name}>", 1), r"^<!\[CDATA\[|\]\]>$", "")), F.lit(""))
-    attribute = lambda name: F.nullif(F.regexp_extract("x", rf'(?s)<enclosure\b[^>]*\b{name}="([^"]*)"', 1), F.lit(""))
-    return files.select("file", item).select("file", "pos", tag("title").alias("title"), tag("pubDate").alias("pub_date"), d.feed_seconds(tag("itunes:duration")).alias("duration_s"), attribute("url").alias("enclosure"), F.coalesce(attribute("length").try_cast("bigint"), F.lit(0)).alias("bytes"))
-
-
 def json_rows(files: DataFrame, schema: str, keep: str = "file") -> DataFrame:
     """The objects of JSON lists with pos; fields of a wrong type are null. A file that is no list is refused: the job fails, as no items would pass for an empty pull."""
     kind = f"array<struct<{_fields(schema)}>>"

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.registry import read, split
-from tidemill.sources import landed
+from tidemill.sources import landed, xml
 
 
 def _files(spark, sf_dir, piece: Column, head: str, tail: str, between: str = "") -> DataFrame:
-    """(file, content): a file for each language, the pieces of its pages in order."""
-    pages = read(spark, sf_dir, "pages").select(F.regexp_extract("url", "/(en|fr|de|es)/", 1).alias("file"), F.struct("page_id", piece.alias("x")).alias("p"))
+    """(file, content): a file for each 200 pages of a language at most, their pieces in order."""
+    name = F.concat(F.regexp_extract("url", "/(en|fr|de|es)/", 1), F.lit("-"), F.floor(F.col("page_id") / 200).cast("string"))
+    pages = read(spark, sf_dir, "pages").select(name.alias("file"), F.struct("page_id", piece.alias("x")).alias("p"))
     body = F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["x"]), between)
     return pages.groupBy("file").agg(F.concat(F.lit(head), body, F.lit(tail)).alias("content"))
 
@@ -31,8 +32,16 @@ def url_json_read(spark, sf_dir):
 
 
 def feed_read(spark, sf_dir):
-    item = F.concat(F.lit("<item><title>T"), F.col("page_id").cast("string"), F.lit("</title><itunes:duration>1:0"), (F.col("page_id") % 10).cast("string"), F.lit('</itunes:duration><enclosure length="5" url="'), F.col("url"), F.lit('"/></item>'))
-    return landed.feed_items(_files(spark, sf_dir, item, "<rss><channel>", "</channel></rss>")).select("file", "pos", "title", "duration_s", "enclosure", "bytes")
+    """Feeds with references, CDATA, quotes of both kinds, durations of three forms, and enclosures that are none or not to be fetched."""
+    k = F.col("page_id")
+    ident = k.cast("string")
+    amp = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    title = F.when(k % 3 == 0, F.concat(F.lit("Tom &amp; &#74;"), ident)).when(k % 3 == 1, F.concat(F.lit("<![CDATA[<b> & "), ident, F.lit("]]>"))).otherwise(F.concat(F.lit("\n T"), ident, F.lit(" ")))
+    long = F.when(k % 4 == 0, "1:01:05").when(k % 4 == 1, "1:05").when(k % 4 == 2, "77")
+    duration = F.coalesce(F.concat(F.lit("<itunes:duration>"), long, F.lit("</itunes:duration>")), F.lit(""))
+    enclosure = F.when(k % 5 == 0, "").when(k % 5 == 1, F.concat(F.lit("<enclosure length='"), ident, F.lit("' url='"), amp, F.lit("'/>"))).when(k % 5 == 2, F.concat(F.lit('<enclosure url="ftp://x/'), ident, F.lit('" length="3"></enclosure>'))).otherwise(F.concat(F.lit('<enclosure length="" url="'), amp, F.lit('"/>')))
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title>"), duration, enclosure, F.lit("<pubDate>d</pubDate></item><!-- <item/> -->"))
+    return xml.feed_items(_files(spark, sf_dir, item, '<?xml version="1.0"?><rss xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd"><channel><title>no</title>', "</channel></rss>"))
 
 
 def json_list_read(spark, sf_dir):
@@ -72,30 +81,32 @@ def manifest_read(spark, sf_dir):
 
 
 def tree_walk(spark, sf_dir):
-    """Each share's folders hang below one another by the digits of their numbers; leaves lie in them all."""
-    k = F.col("page_id")
-    share = F.concat(F.lit("s"), (k % 2).cast("string"))
-    folders = read(spark, sf_dir, "pages").where("page_id < 80").select(share.alias("share"), F.when(k < 2, share).otherwise(F.concat(F.lit("f"), F.floor(k / 4) * 2 + k % 2)).alias("parent"), F.concat(F.lit("f"), k.cast("string")).alias("id"), F.concat(F.lit("n"), k.cast("string")).alias("name"), F.lit(True).alias("is_folder"), k.alias("pos"))
-    folders = folders.withColumn("parent", F.when(F.col("pos") < 2, F.col("share")).otherwise(F.concat(F.lit("f"), (F.floor((F.col("pos") - 2) / 4) * 2 + F.col("pos") % 2).cast("string"))))
-    leaves = read(spark, sf_dir, "pages").select(share.alias("share"), F.concat(F.lit("f"), (k % 80).cast("string")).alias("parent"), F.concat(F.lit("leaf"), k.cast("string")).alias("id"), F.lit("x").alias("name"), F.lit(False).alias("is_folder"), (k + 1000).alias("pos"))
-    return landed.tree_leaves(folders.union(leaves)).select("share", "id", F.array_join("path", "/").alias("path"))
+    """400 pages are a share: each fifth a folder, three of them below one; the others are leaves of the folder before them. A walk enters 50 folders."""
+    k, n = F.col("page_id"), F.floor(F.col("page_id") % 400 / 5)
+    share = F.concat(F.lit("s"), F.floor(k / 400).cast("string"))
+    folder = lambda j: F.concat(F.lit("f"), j.cast("string"))
+    up = F.when(k % 5 > 0, folder(n)).when(n == 0, share).otherwise(folder(F.floor((n - 1) / 3)))
+    cards = read(spark, sf_dir, "pages").select(share.alias("share"), up.alias("parent"), F.when(k % 5 == 0, folder(n)).otherwise(F.concat(F.lit("leaf"), k.cast("string"))).alias("id"), F.regexp_extract("url", "([^/]*)$", 1).alias("name"), (k % 5 == 0).alias("is_folder"), k.alias("pos"))
+    return landed.tree_leaves(cards, most_folders=51).select("share", "id", F.array_join("path", "/").alias("path"))
 
 
-N = "CAST(row_number() OVER (PARTITION BY regexp_extract(url, '/(en|fr|de|es)/', 1) ORDER BY page_id) - 1 AS INTEGER)"
-FILE = "regexp_extract(url, '/(en|fr|de|es)/', 1)"
+FILE = "regexp_extract(url, '/(en|fr|de|es)/', 1) || '-' || page_id // 200"
+N = f"CAST(row_number() OVER (PARTITION BY {FILE} ORDER BY page_id) - 1 AS INTEGER)"
 MS = "lpad(CAST(epoch_us(ts) // 1000 AS VARCHAR), 13, '0')"
 PAIRS = {
     "sitemap_read": (sitemap_read, f"SELECT {FILE} AS file, {N} AS pos, url, CASE WHEN page_id % 2 = 0 THEN '2024-03-01' END AS lastmod, false AS child FROM pages"),
     "url_lines_read": (url_lines_read, f"SELECT {FILE} AS file, {N} AS pos, url, CAST(NULL AS VARCHAR) AS lastmod, false AS child FROM pages"),
     "url_json_read": (url_json_read, f"SELECT {FILE} AS file, {N} AS pos, url, CAST(NULL AS VARCHAR) AS lastmod, false AS child FROM pages"),
-    "feed_read": (feed_read, f"SELECT {FILE} AS file, {N} AS pos, 'T' || page_id AS title, 60 + page_id % 10 AS duration_s, url AS enclosure, 5 AS bytes FROM pages"),
+    "feed_read": (feed_read, f"""SELECT {FILE} AS file, {N} AS pos, ['Tom & J' || page_id, '<b> & ' || page_id, 'T' || page_id][page_id % 3 + 1] AS title, 'd' AS pub_date, [3665, 65, 77, NULL][page_id % 4 + 1] AS duration_s,
+ CASE WHEN page_id % 5 IN (1, 3, 4) THEN url END AS enclosure, CASE page_id % 5 WHEN 1 THEN page_id WHEN 2 THEN 3 WHEN 3 THEN 0 WHEN 4 THEN 0 END AS bytes FROM pages"""),
     "json_list_read": (json_list_read, f"SELECT {FILE} AS file, {N} AS pos, page_id AS id, url AS canonical_url, CAST(NULL AS VARCHAR) AS title FROM pages"),
     "archive_read": (archive_read, f"SELECT {FILE} AS page, {N} AS place, page_id AS id FROM pages"),
     "sitemap_odd_read": (sitemap_odd_read, f"SELECT {FILE} AS file, {N} AS pos, url, '2024-01-02' AS lastmod, false AS child FROM pages UNION ALL SELECT {FILE}, {N}, url, NULL, true FROM pages"),
     "manifest_read": (manifest_read, f"SELECT {FILE} AS file, {N} AS pos, CAST(page_id AS VARCHAR) AS asset_id, 'a/b' AS path, url AS view_url FROM pages"),
-    "tree_walk": (tree_walk, """WITH RECURSIVE f AS (SELECT page_id AS k, CASE WHEN page_id >= 2 THEN (page_id - 2) // 4 * 2 + page_id % 2 END AS up FROM pages WHERE page_id < 80),
-w AS (SELECT k, 'n' || k AS path FROM f WHERE up IS NULL UNION ALL SELECT f.k, w.path || '/n' || f.k FROM f JOIN w ON f.up = w.k)
-SELECT 's' || page_id % 2 AS share, 'leaf' || page_id AS id, path FROM pages JOIN w ON page_id % 80 = k"""),
+    "tree_walk": (tree_walk, """WITH RECURSIVE f AS (SELECT page_id AS pos, page_id // 400 AS s, page_id % 400 // 5 AS j, regexp_extract(url, '([^/]*)$', 1) AS name FROM pages WHERE page_id % 5 = 0),
+w AS (SELECT s, j, [pos] AS places, name AS path FROM f WHERE j = 0 UNION ALL SELECT f.s, f.j, list_append(w.places, f.pos), w.path || '/' || f.name FROM f JOIN w ON f.s = w.s AND (f.j - 1) // 3 = w.j AND f.j > 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY places) AS nth FROM w)
+SELECT 's' || page_id // 400 AS share, 'leaf' || page_id AS id, path FROM pages JOIN n ON s = page_id // 400 AND j = page_id % 400 // 5 WHERE page_id % 5 > 0 AND nth <= 50"""),
     "keyless_read": (keyless_read, "SELECT page_id, page_id AS id, true AS keyless FROM pages"),
     "item_file_order": (item_file_order, f"WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, {MS} || '--' || event_id || '.json' AS name FROM events) SELECT day, min(name) AS first, max(name) AS last, count(*) AS n FROM e GROUP BY 1"),
 }
