@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = (
     "functions.queries", "functions.html", "plans.pages", "plans.rules", "operators.items", "operators.matching", "operators.titles",
-    "operators.report", "operators.attempts", "operators.render", "operators.picks", "operators.made_rows", "sources.queries", "sources.entities",
+    "operators.report", "operators.attempts", "operators.reasons", "operators.render", "operators.picks", "operators.made_rows", "sources.queries", "sources.entities",
 )
 
 
