@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from tidemill.functions import text as t
 from tidemill.functions import times as d
 from tidemill.storage import saved
 
@@ -97,6 +98,36 @@ def tree_leaves(cards: DataFrame, most_folders: int = 200, most_rounds: int = 10
     return leaves.select("share", "id", "name", "path", F.concat("ord", F.array(F.col("pos").cast("int"))).alias("ord"))
 
 
+def day_items(spark: SparkSession, root: str, schema: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """(day, pos, name, id, item) of the item files root/day/items/stamp--id.json, of the days from first to last; pos is their order, oldest first, as names begin with the time.
+
+    Files that are not named so are no items. item is null where a file holds no object. Days are read off the paths, which are filtered before any file is opened."""
+    path = F.col("_metadata.file_path")
+    day = F.element_at(F.split(path, "/"), -3)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*--*.json").text(root, wholetext=True).where(day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & path.rlike("/items/[^/]*$"))
+    if first is not None:
+        files = files.where(day >= first)
+    if last is not None:
+        files = files.where(day <= last)
+    name = F.col("_metadata.file_name")
+    rows = files.select(day.alias("day"), name.alias("name"), t.id_in_name(name).alias("id"), json_object(F.col("value"), schema).alias("item")).where("id is not null")
+    return rows.withColumn("pos", (F.row_number().over(Window.partitionBy("day").orderBy("name")) - 1).cast("int")).select("day", "pos", "name", "id", "item")
+
+
+def stored_item(item: Column) -> Column:
+    """What is kept of a mail beside its own line: texts (null where there are none), labels that are texts, and the names and types of attachments that are objects, never bytes.
+
+    item is JSON text, as its fields change their types from one venue to the next; anything else than an object has nothing."""
+    v = F.try_parse_json(item)
+    kind = lambda x: F.schema_of_variant(x)
+    text = lambda key: F.when(kind(F.try_variant_get(v, f"$.{key}", "variant")) == "STRING", F.try_variant_get(v, f"$.{key}", "string"))
+    listed = lambda key: F.coalesce(F.try_variant_get(v, f"$.{key}", "array<variant>"), F.array().cast("array<variant>"))
+    words = F.transform(F.filter(listed("labels"), lambda x: kind(x) == "STRING"), lambda x: x.cast("string"))
+    inner = lambda x, key: F.when(kind(F.try_variant_get(x, f"$.{key}", "variant")) == "STRING", F.try_variant_get(x, f"$.{key}", "string"))
+    files = F.transform(F.filter(listed("attachments"), lambda x: F.startswith(kind(x), F.lit("OBJECT"))), lambda x: F.struct(inner(x, "name").alias("name"), inner(x, "mime").alias("mime")))
+    return F.struct(*(text(k).alias(k) for k in ("thread", "from", "to", "date")), words.alias("labels"), files.alias("attachments"))
+
+
 def json_rows(files: DataFrame, schema: str, keep: str = "file") -> DataFrame:
     """The objects of JSON lists with pos; fields of a wrong type are null. A file that is no list is refused: the job fails, as no items would pass for an empty pull."""
     kind = f"array<struct<{_fields(schema)}>>"

@@ -90,6 +90,16 @@ def tree_walk(spark, sf_dir):
     return landed.tree_leaves(cards, most_folders=51).select("share", "id", F.array_join("path", "/").alias("path"))
 
 
+def stored_items(spark, sf_dir):
+    """Documents as mails whose fields change their types; every fifth is cut off."""
+    k = F.col("doc_id")
+    thread = F.when(k % 3 == 0, F.to_json(F.struct("source"))).when(k % 3 == 1, F.col("n_chars").cast("string")).otherwise(F.concat(F.lit('"'), F.col("source"), F.lit('"')))
+    labels = F.when(k % 4 == 0, F.concat(F.lit('["a", 1, null, "'), F.col("lang"), F.lit('"]'))).when(k % 4 == 1, "7").otherwise('["x"]')
+    item = F.concat(F.lit('{"thread": '), thread, F.lit(', "from": "'), F.col("lang"), F.lit('", "labels": '), labels, F.lit(', "attachments": [{"name": "'), F.col("source"), F.lit('", "mime": 3}, "no"]'), F.when(k % 5 == 0, "").otherwise("}"))
+    x = landed.stored_item(item)
+    return read(spark, sf_dir, "documents").select("doc_id", x.alias("x")).select("doc_id", "x.thread", F.col("x.from").alias("sender"), F.array_join("x.labels", ",").alias("labels"), F.size("x.attachments").alias("files"), F.get("x.attachments", 0)["name"].alias("file"))
+
+
 FILE = "regexp_extract(url, '/(en|fr|de|es)/', 1) || '-' || page_id // 200"
 N = f"CAST(row_number() OVER (PARTITION BY {FILE} ORDER BY page_id) - 1 AS INTEGER)"
 MS = "lpad(CAST(epoch_us(ts) // 1000 AS VARCHAR), 13, '0')"
@@ -107,6 +117,8 @@ PAIRS = {
 w AS (SELECT s, j, [pos] AS places, name AS path FROM f WHERE j = 0 UNION ALL SELECT f.s, f.j, list_append(w.places, f.pos), w.path || '/' || f.name FROM f JOIN w ON f.s = w.s AND (f.j - 1) // 3 = w.j AND f.j > 0),
 n AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY places) AS nth FROM w)
 SELECT 's' || page_id // 400 AS share, 'leaf' || page_id AS id, path FROM pages JOIN n ON s = page_id // 400 AND j = page_id % 400 // 5 WHERE page_id % 5 > 0 AND nth <= 50"""),
+    "stored_items": (stored_items, """SELECT doc_id, CASE WHEN doc_id % 5 > 0 AND doc_id % 3 = 2 THEN source END AS thread, CASE WHEN doc_id % 5 > 0 THEN lang END AS sender,
+ CASE WHEN doc_id % 5 = 0 THEN '' ELSE ['a,' || lang, '', 'x', 'x'][doc_id % 4 + 1] END AS labels, CAST(doc_id % 5 > 0 AS INTEGER) AS files, CASE WHEN doc_id % 5 > 0 THEN source END AS file FROM documents"""),
     "keyless_read": (keyless_read, "SELECT page_id, page_id AS id, true AS keyless FROM pages"),
     "item_file_order": (item_file_order, f"WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, {MS} || '--' || event_id || '.json' AS name FROM events) SELECT day, min(name) AS first, max(name) AS last, count(*) AS n FROM e GROUP BY 1"),
 }
