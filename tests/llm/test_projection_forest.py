@@ -66,3 +66,10 @@ def test_nothing(spark):
     assert forest.near_vectors(frame(spark, [])).collect() == []
     (row,) = forest.near_vectors(frame(spark, [(None, [1.0], 1)]).withColumn("leaf", forest.F.lit(1))).collect()
     assert tuple(row) == (None, 0, None, True)
+
+
+def test_query_is_brute_force(spark, tmp_path):
+    rows = made(3)
+    frame(spark, rows).selectExpr("*", *(f"{k} as {c}" for k, c in enumerate("id rep dim leaf n_links component_id kept vector".split()))).repartition(4).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = forest.QUERIES["op10_projection_forest"](spark, str(tmp_path)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows) and all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
