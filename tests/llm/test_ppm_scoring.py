@@ -82,3 +82,16 @@ def test_order_is_kept_by_a_large_corpus(spark):
     want = np.bincount(doc, ppm.Model.of(keys, n, 6).log10(grams))
     got = ppm.score(docs, *ppm.learn(docs), ppm.held_out()).collect()
     assert np.allclose([r["score"] for r in sorted(got)], want, rtol=1e-9)
+
+
+def test_grams_by_their_definition():
+    for texts, lead, ended in ((["", "aB", "", "xyzxyzxyz", "q"], b"", True), (["cde"], b"ab", False), (["cdefgh", "", "i"], b"uvwxyz", True), ([""], b"", False)):
+        raw, off = np.frombuffer("".join(texts).encode(), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        for order in (2, 6):
+            had = lead[:order]
+            want = []
+            for k, t in enumerate(texts):
+                data = bytes([255] * order) + (had if not k else b"") + t.lower().encode() + (b"\xff" if ended or k < len(texts) - 1 else b"")
+                want += [(int.from_bytes(data[i - order : i + 1], "big"), k) for i in range(order + (0 if k else len(had)), len(data))]
+            got = ppm.text_grams(raw, off, order, had, ended)
+            assert list(zip(*(x.tolist() for x in got), strict=True)) == want

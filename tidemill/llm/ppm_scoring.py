@@ -161,13 +161,15 @@ def _find(where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Often:
     """The frequent grams and log10 of their probabilities in an open-addressing table that is two thirds full."""
 
-    keys: np.ndarray
-    values: np.ndarray
+    #: (key, value): both are read at once
+    cells: np.ndarray
 
     @staticmethod
     def of(grams: np.ndarray, logs: np.ndarray) -> Often:
         size = max(16, len(grams) * 3 // 2)
-        keys, values = np.full(size, FREE), np.zeros(size)
+        cells = np.zeros(size, [("key", np.uint64), ("value", np.float64)])
+        keys, values = cells["key"], cells["value"]
+        keys[:] = FREE
         todo, slot = np.arange(len(grams)), _slots(grams, size)
         while len(todo):
             free = keys[slot] == FREE
@@ -177,22 +179,25 @@ class Often:
             rest = np.ones(len(todo), bool)
             rest[won] = False
             todo, slot = todo[rest], (slot[rest] + 1) % size
-        return Often(keys, values)
+        return Often(cells)
 
     def log10(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 of the probability of each gram or 0, places of the grams that are not frequent)."""
-        size, slot = len(self.keys), _slots(grams, len(self.keys))
-        out = self.values[slot]
-        wrong = np.flatnonzero(self.keys[slot] != grams)
+        size, slot = len(self.cells), _slots(grams, len(self.cells))
+        met = self.cells.take(slot)
+        out = met["value"].copy()
+        wrong = np.flatnonzero(met["key"] != grams)
+        key = met["key"][wrong]
         missing = [np.zeros(0, np.int64)]
         slot = slot[wrong]
         while len(wrong):
-            empty = self.keys[slot] == FREE
+            empty = key == FREE
             missing.append(wrong[empty])
             wrong, slot = wrong[~empty], (slot[~empty] + 1) % size
-            hit = self.keys[slot] == grams[wrong]
-            out[wrong[hit]] = self.values[slot[hit]]
-            wrong, slot = wrong[~hit], slot[~hit]
+            met = self.cells.take(slot)
+            hit = met["key"] == grams[wrong]
+            out[wrong[hit]] = met["value"][hit]
+            wrong, slot, key = wrong[~hit], slot[~hit], met["key"][~hit]
         missing = np.concatenate(missing)
         out[missing] = 0
         return out, missing
@@ -224,14 +229,12 @@ def text_grams(raw: np.ndarray, off: np.ndarray, order: int, lead: bytes = b"",
     inside = np.ones(len(data), bool)
     inside[(off[1:] + np.arange(n))[:marks]] = False
     data[inside] = tk.LOWER[raw]
-    place = np.arange(len(data)) - (off[:-1] + np.arange(n))[doc]
-    place[doc == 0] += len(lead)
-    data = np.concatenate((np.full(order - len(lead), END, np.uint8), np.frombuffer(lead, np.uint8), data))
-    grams = data[order:].astype(np.uint64)
-    for j in range(1, order + 1):
-        before = data[order - j : len(data) - j].astype(np.uint64)
-        before[place < j] = END
-        grams |= before << np.uint64(8 * j)
+    data = np.concatenate((np.full(7 - len(lead), END, np.uint8), np.frombuffer(lead, np.uint8), data))
+    grams = np.ndarray(len(data) - 7, ">u8", data, strides=(1,)).astype(np.uint64) & np.uint64((1 << (8 * (order + 1))) - 1)
+    for j in range(order):  # before the later documents' bytes come marks; the first has its lead
+        at = off[1:-1] + np.arange(1, n) + j
+        at = at[(at <= off[2:] + np.arange(1, n)) & (at < len(grams))]
+        grams[at] |= np.uint64(sum(END << (8 * k) for k in range(j + 1, order + 1)))
     return grams, doc
 
 
